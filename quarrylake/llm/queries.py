@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
 from .groups import groups_by_shared
+from .names import person_pairs
 from .packing import packed
 from .tokenizer import encoded
 
@@ -21,6 +22,12 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return groups_by_shared(table(spark, folder, "patient_crosswalk"), "patient_id", "mpi_id")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of mpi_ids of one person."""
+    pairs = person_pairs(table(spark, folder, "patient_master"), table(spark, folder, "nicknames"))
+    return pairs.toDF("mpi_id_a", "mpi_id_b")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return encoded(table(spark, folder, "documents"))
@@ -32,7 +39,7 @@ def p9_packed(spark: SparkSession, folder: str) -> DataFrame:
     return packed(sizes, "doc_id", "n_tokens", CONTAINER)
 
 
-QUERIES = {"p1_found": p1_found, "p8_ids": p8_ids, "p9_packed": p9_packed}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_packed": p9_packed}
 
 ORACLE = {
     "p1_found": """
