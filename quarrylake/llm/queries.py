@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
 from .groups import groups_by_shared
+from .linkage import claim_bill_pairs
 from .names import person_pairs
 from .packing import packed
 from .tokenizer import encoded
@@ -28,6 +29,16 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.toDF("mpi_id_a", "mpi_id_b")
 
 
+def p7_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Every claim and its bill with the confidence."""
+    return claim_bill_pairs(table(spark, folder, "claims"), table(spark, folder, "bills"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every claim and the delivered bill it was made for."""
+    return p7_matches(spark, folder).select("claim_id", "bill_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return encoded(table(spark, folder, "documents"))
@@ -39,7 +50,7 @@ def p9_packed(spark: SparkSession, folder: str) -> DataFrame:
     return packed(sizes, "doc_id", "n_tokens", CONTAINER)
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_packed": p9_packed}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_ids": p8_ids, "p9_packed": p9_packed}
 
 ORACLE = {
     "p1_found": """
