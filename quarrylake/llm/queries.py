@@ -9,6 +9,7 @@ from .groups import groups_by_shared
 from .linkage import claim_bill_pairs
 from .names import person_pairs
 from .packing import packed
+from .subjects import subject_areas
 from .tokenizer import encoded
 
 CONTAINER = 2048
@@ -50,7 +51,12 @@ def p9_packed(spark: SparkSession, folder: str) -> DataFrame:
     return packed(sizes, "doc_id", "n_tokens", CONTAINER)
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_ids": p8_ids, "p9_packed": p9_packed}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Subjects of every document."""
+    return subject_areas(*(table(spark, folder, t) for t in ("documents", "subject_labels", "subjects")))
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
 
 ORACLE = {
     "p1_found": """
