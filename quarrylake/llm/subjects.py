@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most labelled documents that the model is fitted on, drawn evenly by hash, and most sentences of each.
-SAMPLE, SENTENCES = 4_000, 32
+SAMPLE, SENTENCES = 3_000, 20
 
 #: Dimensions kept, rounds of refinement, parts into which the sentences of a subject and language are pooled.
 RANK, ROUNDS, PARTS = 64, 2, 4
