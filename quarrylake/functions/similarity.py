@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def jaro_winkler_of(a: str | None, b: str | None) -> float:
@@ -34,6 +35,6 @@ def jaro_winkler_of(a: str | None, b: str | None) -> float:
     return jaro + 0.1 * same * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler_of(x, y) for x, y in zip(a, b)], dtype=float)

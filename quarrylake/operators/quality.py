@@ -89,7 +89,7 @@ def evaluate(spark: SparkSession, read: Callable[[str], DataFrame | None], check
     for c in checks:
         v = values[c.name]
         passed = v is not None and (c.threshold is None or COMPARE[c.compare](v, c.threshold))
-        rows.append((c.name, c.table, c.kind, None if v is None else round(float(v), 6), c.threshold, passed, c.blocking))
+        rows.append((c.name, c.table, c.kind, None if v is None else round(float(v), 6), None if c.threshold is None else float(c.threshold), passed, c.blocking))
     return spark.createDataFrame(rows, "check_name string, table_name string, kind string, value double, threshold double, passed boolean, blocking boolean")
 
 

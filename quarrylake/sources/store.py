@@ -70,7 +70,7 @@ class TableStore:
         if at is None:
             raise FileNotFoundError(f"no table {name}")
         if version is None or version == at["version"]:
-            return self.spark.read.schema(F_schema(at["schema"])).parquet(f"{self._path(name)}/v={at['version']}")
+            return self.spark.read.schema(_schema_of(at["schema"])).parquet(f"{self._path(name)}/v={at['version']}")
         if version not in self.versions(name):
             raise FileNotFoundError(f"no version {version} of {name}")
         return self.spark.read.parquet(f"{self._path(name)}/v={version}")
@@ -145,7 +145,7 @@ class TableStore:
         return missing
 
 
-def F_schema(text: str):
+def _schema_of(text: str):
     from pyspark.sql.types import StructType
 
     return StructType.fromJson(json.loads(text))
