@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Most labelled documents that the model is fitted on, drawn evenly by hash, and most sentences of each.
 SAMPLE, SENTENCES = 3_000, 20
 
+#: Sentences that a subject's description counts for.
+DESCRIPTIONS = 10
+
 #: Dimensions kept, rounds of refinement, parts into which the sentences of a subject and language are pooled.
 RANK, ROUNDS, PARTS = 64, 2, 4
 
@@ -171,7 +174,7 @@ def subject_areas(documents: DataFrame, labels: DataFrame, subjects: DataFrame,
     spark = documents.sparkSession
     known = [(r["subject"], r["description"] or "") for r in subjects.select("subject", "description").dropna(subset=["subject"]).distinct().orderBy("subject").collect()]
     names = list(dict.fromkeys(s for s, _ in known))
-    told = [(frozenset([names.index(s)]), "en", w) for s, d in known for w in sentences(f"{s}. {d}")]
+    told = [(frozenset([names.index(s)]), "en", w) for s, d in known for w in sentences(f"{s}. {d}")] * DESCRIPTIONS
     model = fit(names, told + labelled_sentences(documents, labels, names, sample)) if names else None
     sent = spark.sparkContext.broadcast(model)
     kind = documents.schema["doc_id"].dataType
