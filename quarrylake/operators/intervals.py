@@ -26,6 +26,20 @@ def expand_days(df: DataFrame, start: str, end: str, day: str = "day") -> DataFr
     return df.filter(F.col(start) <= F.col(end)).withColumn(day, F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day"))))
 
 
+def open_on_days(df: DataFrame, start: str, end: str) -> DataFrame:
+    """(day, n_open) for every day from the first start to the last end on which any period is open, both ends included.
+
+    Periods become a step up and a step down, summed by day before anything is ordered, and the running sum goes over the
+    days only: at most one row a day of the calendar whatever the number and length of the periods. Null or reversed
+    periods are left out.
+    """
+    steps = F.array(F.struct(F.col(start).alias("day"), F.lit(1).alias("step")), F.struct(F.date_add(end, 1).alias("day"), F.lit(-1).alias("step")))
+    by_day = df.filter(F.col(start) <= F.col(end)).select(F.inline(steps)).groupBy("day").agg(F.sum("step").alias("step"))
+    w = Window.orderBy("day")
+    level = by_day.select("day", F.sum("step").over(w).alias("n_open"), F.date_sub(F.lead("day").over(w), 1).alias("__last"))
+    return expand_days(level.filter("n_open > 0").withColumnRenamed("day", "__first"), "__first", "__last").select("day", "n_open")
+
+
 def daily_state(parts: DataFrame, place: str, who: str) -> DataFrame:
     """(place, day): distinct `who` present, open segments, starts, ends of closed ones and mean days of those.
 

@@ -14,7 +14,7 @@ from ..operators.entity import assign_stable_ids, candidate_pairs, exact_links,
 from ..operators.graph import components
 from ..operators.history import type2_merge
 from ..operators.inference import infer_codes
-from ..operators.intervals import daily_state, expand_days, segments
+from ..operators.intervals import daily_state, open_on_days, segments
 from ..operators.joins import band_join, point_in_time, wildcard_match
 from ..operators.quality import Check, evaluate
 from ..operators.references import orphans
@@ -408,9 +408,7 @@ def open_by_day(spark, folder):
     """Orders open on each day, from order to last shipment."""
     last = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.to_date(F.max("l_shipdate")).alias("b"))
     o = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("a")).join(last, "o_orderkey")
-    # periods are counted by start and end before they become days
-    periods = o.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    return expand_days(periods, "a", "b").groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.sum("n").alias("n_open"))
+    return open_on_days(o, "a", "b").select(text_day("day"), "n_open")
 
 
 _DAILY = f"""{_SEG},
