@@ -23,8 +23,8 @@ def block_sizes(keys: DataFrame) -> DataFrame:
 def candidate_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column], most: int) -> DataFrame:
     """(a, b, strategies), a < b: pairs that share a block of at most `most` records, each once, with all its strategies.
 
-    `most` is the operator's definition of a block that tells anything, as larger ones do not; oversized() lists what it
-    leaves out, so nothing disappears unseen. Pairs of a kept block are at most most * (most - 1) / 2.
+    Pairs of larger blocks are left out: oversized() lists those blocks, block_pairs() makes the pairs of all blocks.
+    Pairs of a kept block are at most most * (most - 1) / 2.
     """
     keys = block_keys(df, record, strategies).distinct()
     small = block_sizes(keys).filter((F.col("n") > 1) & (F.col("n") <= most)).select("strategy", "block_key")
@@ -33,6 +33,23 @@ def candidate_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column]
     return x.join(y, ["strategy", "block_key"]).filter("a < b").groupBy("a", "b").agg(F.sort_array(F.collect_set("strategy")).alias("strategies"))
 
 
+def block_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column], part: int = 64) -> DataFrame:
+    """(a, b, strategies), a < b: all pairs that share a block of any size, each once, with all its strategies.
+
+    A block of n records is split by hash into n / part parts, and each two parts (and each part with itself) meet in a cell
+    of their own, so that a hot block's pairs are made in many tasks; `part` changes no result. The pairs are as many as the
+    blocks define: they grow with the square of a block. Null records are in no pair.
+    """
+    keys = block_keys(df.filter(F.col(record).isNotNull()), record, strategies).distinct()
+    parts = block_sizes(keys).filter("n > 1").select("strategy", "block_key", F.ceil(F.col("n") / part).cast("int").alias("__parts"))
+    keys = keys.join(parts, ["strategy", "block_key"]).withColumn("__part", F.pmod(F.xxhash64(record), F.col("__parts")).cast("int"))
+    cell = ["strategy", "block_key", "__i", "__j"]
+    x = keys.select("strategy", "block_key", F.col(record).alias("__x"), F.col("__part").alias("__i"), F.explode(F.sequence("__part", F.col("__parts") - 1)).alias("__j"))
+    y = keys.select("strategy", "block_key", F.col(record).alias("__y"), F.explode(F.sequence(F.lit(0), "__part")).alias("__i"), F.col("__part").alias("__j"))
+    both = x.join(y, cell).filter("__i < __j or __x < __y")
+    return both.groupBy(F.least("__x", "__y").alias("a"), F.greatest("__x", "__y").alias("b")).agg(F.sort_array(F.collect_set("strategy")).alias("strategies"))
+
+
 def oversized(df: DataFrame, record: str, strategies: Mapping[str, Column], most: int) -> DataFrame:
     """Blocks of every strategy that candidate_pairs leaves out, with their sizes."""
     return block_sizes(block_keys(df, record, strategies).distinct()).filter(F.col("n") > most)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar
 from ..functions.similarity import jaro_winkler
 from ..functions.text import normalize_name, normalize_phone, reference_sequence, sha_key
-from ..operators.entity import assign_stable_ids, candidate_pairs, exact_links, oversized, pair_quality, survivors, three_way, weighted_score
+from ..operators.entity import assign_stable_ids, block_pairs, candidate_pairs, exact_links, oversized, pair_quality, survivors, three_way, weighted_score
 from ..operators.graph import components
 from ..operators.history import type2_merge
 from ..operators.inference import infer_codes
@@ -304,6 +304,13 @@ def blocked_pairs(spark, folder):
     return candidate_pairs(c, "c_custkey", keys, 6).withColumn("strategies", F.array_join("strategies", ","))
 
 
+@query(f"{_BLOCKS} select x.r as a, y.r as b, string_agg(distinct x.s, ',' order by x.s) as strategies from k x join k y on x.s = y.s and x.b = y.b and x.r < y.r group by 1, 2")
+def blocked_pairs_whole(spark, folder):
+    """Candidate pairs of customers from two strategies, in blocks of any size."""
+    c, keys = _blocked(spark, folder)
+    return block_pairs(c, "c_custkey", keys).withColumn("strategies", F.array_join("strategies", ","))
+
+
 @query(f"{_BLOCKS} select s as strategy, b as block_key, n from z where n > 6")
 def blocks_left_out(spark, folder):
     """Blocks that are too large to tell anything."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarrylake.functions.dates import calendar, parse_by_source
 from quarrylake.functions.similarity import jaro_winkler_of
 from quarrylake.functions.text import normalize_name, normalize_phone, reference_sequence
-from quarrylake.operators.entity import assign_stable_ids, candidate_pairs, exact_links, pair_quality
+from quarrylake.operators.entity import assign_stable_ids, block_pairs, candidate_pairs, exact_links, pair_quality
 from quarrylake.operators.graph import components
 from quarrylake.operators.inference import infer_codes
 from quarrylake.operators.intervals import daily_state, expand_days, segments
@@ -178,3 +178,16 @@ def test_checks_and_gate(spark):
         gate(got)
     empty = evaluate(spark, lambda n: t.limit(0), [Check("key", "t", "unique", ("k",)), Check("v", "t", "not_null", ("v",))])
     assert all(r["passed"] for r in empty.collect())
+
+
+def test_pairs_of_blocks_of_any_size(spark):
+    n = 300
+    df = spark.range(n).select("id", F.lit("hot").alias("p"), (F.col("id") % 100).cast("string").alias("q")).unionByName(spark.createDataFrame([(None, "hot", "1"), (n, "alone", None)], "id bigint, p string, q string"))
+    keys = {"p": F.col("p"), "q": F.col("q")}
+    want = {(a, b): ["p", "q"] if (b - a) % 100 == 0 else ["p"] for a in range(n) for b in range(a + 1, n)}
+    for part in (1000, 7):
+        rows = block_pairs(df, "id", keys, part).collect()
+        assert len(rows) == len(want) and {(r["a"], r["b"]): r["strategies"] for r in rows} == want
+    small = df.filter("id < 5")
+    assert sorted(map(str, block_pairs(small, "id", keys).collect())) == sorted(map(str, candidate_pairs(small, "id", keys, 5).collect()))
+    assert block_pairs(df.limit(0), "id", keys).count() == 0
