@@ -17,8 +17,8 @@ CORRUPT = "_corrupt_record"
 _DAY = re.compile(r"(\d{4}-\d{2}-\d{2})")
 
 
-def list_files(spark: SparkSession, folder: str, logical_date: date | str | None = None, after: str | None = None) -> list[str]:
-    """Files of a source, undated (initial) ones first, then by the date in the name, up to logical_date and after `after`."""
+def list_files(spark: SparkSession, folder: str, logical_date: date | str | None = None) -> list[str]:
+    """Files of a source, undated (initial) ones first, then by the date in the name, up to logical_date."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = []
@@ -30,7 +30,14 @@ def list_files(spark: SparkSession, folder: str, logical_date: date | str | None
                 found.append(p.toString())
     dated = [(m[-1] if (m := _DAY.findall(p.rsplit("/", 1)[-1])) else "", p) for p in found]
     to = str(logical_date)[:10] if logical_date else "9999-12-31"
-    return [p for d, p in sorted(dated) if d <= to and (after is None or d > after)]
+    return [p for d, p in sorted(dated) if d <= to]
+
+
+def _unread(spark: SparkSession, files: Sequence[str], archived: DataFrame) -> list[str]:
+    """Those of the files that are no source_file of the archived rows, in the same order."""
+    one = lambda uri: re.sub("^file:/+", "file:/", uri)
+    read = {one(r["source_file"]) for r in archived.select("source_file").distinct().collect()}
+    return [f for f in files if one(spark._jvm.org.apache.hadoop.fs.Path(f).toUri().toString()) not in read]  # source_file is encoded, a listed path is not
 
 
 def read_raw(spark: SparkSession, contract: Contract, paths: Sequence[str]) -> DataFrame:
@@ -49,16 +56,15 @@ def read_raw(spark: SparkSession, contract: Contract, paths: Sequence[str]) -> D
 def ingest(store: TableStore, registry: Registry, contract: Contract, folder: str, logical_date: date | str, force: bool = False) -> str:
     """One source and date into raw/<name>. A batch that succeeded is skipped; forced, it replaces its own rows only.
 
-    Reads the files after the mark up to the date. Returns the batch's outcome (see Registry.run).
+    Reads the files up to the date that no other batch has in the archive, so late, undated and out-of-order ones are read by
+    the next run; the mark only reports how far it went. Returns the batch's outcome (see Registry.run).
     """
     spark, name = store.spark, f"raw/{contract.name}"
 
     def step(batch: str) -> int:
-        again = store.exists(name) and force
-        files = list_files(spark, folder, logical_date, None if again else registry.mark("raw", contract.name))
-        if again:  # what other batches have read stays theirs
-            others = {r["source_file"] for r in store.read(name).filter(F.col("batch_id") != batch).select("source_file").distinct().collect()}
-            files = [f for f in files if f not in others and f"file://{f.removeprefix('file:')}" not in others]
+        files = list_files(spark, folder, logical_date)
+        if store.exists(name):  # what other batches have read stays theirs
+            files = _unread(spark, files, store.read(name).filter(F.col("batch_id") != batch))
         if not files:
             return 0
         rows = read_raw(spark, contract, files).withColumns({"batch_id": F.lit(batch), "ingest_date": F.coalesce("ingest_date", F.lit(str(logical_date)[:10]).cast("date")), "ingestion_ts": F.current_timestamp()})

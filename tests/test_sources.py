@@ -72,6 +72,23 @@ def test_ingest_once_forced_and_by_date(spark, tmp_path):
     assert store.read(BATCHES).filter("status = 'FAILED'").count() == 1 and reg.mark("raw", "people") == "2024-02-28"
 
 
+def test_late_undated_and_out_of_order_files_are_read_once(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    reg, land = Registry(store), tmp_path / "landing"
+    ids = lambda: sorted(r["id"] for r in store.read("raw/people").collect())
+    put(land / "people 2024-02-05.csv", "id,name,amount\n1,x,2\n")
+    ingest(store, reg, C, str(land), "2024-02-10")
+    put(land / "people 2024-01-05.csv", "id,name,amount\n2,y,2\n")
+    put(land / "initial%20.csv", "id,name,amount\n3,z,2\n")
+    assert ingest(store, reg, C, str(land), "2024-02-11") == "SUCCEEDED" and ids() == ["1", "2", "3"]
+    put(land / "people_2024-01-07.csv", "id,name,amount\n4,v,2\n")
+    put(land / "people_2024-02-20.csv", "id,name,amount\n5,w,2\n")
+    assert ingest(store, reg, C, str(land), "2024-01-31") == "SUCCEEDED" and ids() == ["1", "2", "3", "4"]
+    assert reg.mark("raw", "people") == "2024-02-11"
+    assert ingest(store, reg, C, str(land), "2024-02-11", force=True) == "SUCCEEDED" and ids() == ["1", "2", "3", "4"]
+    assert ingest(store, reg, C, str(land), "2024-02-28") == "SUCCEEDED" and ids() == ["1", "2", "3", "4", "5"]
+
+
 def test_store(spark, tmp_path):
     s = TableStore(spark, str(tmp_path))
     df = spark.createDataFrame([(1, "a", None), (2, "b", 1), (None, "n", 2)], "k int, v string, w int")
