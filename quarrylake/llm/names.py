@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from datetime import date, timedelta
 from itertools import permutations
 
 import pandas as pd
@@ -131,8 +132,17 @@ def name_match(a: list[tuple[str, str]], b: list[tuple[str, str]], nick: dict[st
     return best
 
 
+def _slip(y: int, m: int, d: int, z: int, n: int, e: int) -> bool:
+    """True days of the year at most 3 apart, over the turn of the year as well, and years at most 2 apart."""
+    if abs(y - z) > 2 or m > 12 or n > 12:
+        return False
+    day = lambda v, i, j: date(v, i, 1) + timedelta(j - 1)  # noqa: E731  29 February is 1 March in other years
+    return any(abs((day(y, m, d) - day(v, n, e)).days) <= 3 for v in (y - 1, y, y + 1) if 0 < v < 9999)
+
+
 def near_dates(a: str, b: str) -> str:
-    """'same', 'swapped' (day and month), 'near' (a slip of days, months or years of those, or one digit), 'far', '' if unknown."""
+    """'same', 'swapped' (day and month), 'near' (a slip of days and years, with day and month of either one swapped or not, of a
+    month, or one digit), 'far', '' if unknown."""
     if not a or not b:
         return ""
     if a == b:
@@ -142,10 +152,8 @@ def near_dates(a: str, b: str) -> str:
         return "swapped"
     if sum(p != q for p, q in zip(a, b)) == 1:
         return "near"
-    for n2, e2 in ((n, e), (e, n)):
-        apart = abs((m - n2) * 31 + d - e2)
-        if abs(y - z) <= 2 and min(apart, abs(372 - apart)) <= 3:
-            return "near"
+    if _slip(y, m, d, z, n, e) or _slip(y, m, d, z, e, n) or _slip(y, d, m, z, n, e):
+        return "near"
     return "near" if y == z and abs((m - n) * 31 + d - e) <= 31 else "far"
 
 
@@ -159,7 +167,8 @@ def person_pairs(people: DataFrame, nicknames: DataFrame, key: str = "mpi_id") -
     """(a, b), a < b: rows of one person, by key.
 
     Words of each name, their full forms if they are nicknames, and the name run together are joined by radius within equal
-    phone numbers and birth dates (day and month in either order). Each close pair is then looked at: gender or blood group
+    phone numbers, birth dates (day and month in either order), and phone numbers equal but for a digit left out: those of
+    numbers one edit or swap of neighbours apart meet there. Each close pair is then looked at: gender or blood group
     that differ rule it out; the names must agree word by word in some order; and phone and birth date must agree well enough
     (equal phone and not a far birth date, or equal birth date, or near ones of both). Pairs are closed over groups by
     hash_to_min, and pairs of a group whose gender or blood group differ are left out.
@@ -183,7 +192,12 @@ def person_pairs(people: DataFrame, nicknames: DataFrame, key: str = "mpi_id") -
     day = F.when(F.col("dob") != "", F.concat(F.lit("d"), F.substring("dob", 1, 4), F.least(m, d), F.greatest(m, d)))
     anchors = F.array_compact(F.array(F.when(F.col("ph") != "", F.concat(F.lit("p"), "ph")), day))
     joined = F.array(F.regexp_replace("n", " ", ""), F.array_join(F.reverse(split), ""))
-    words = rows.select("r", F.explode(anchors).alias("k"), F.array_distinct(F.concat(split, joined)).alias("ws")).select("r", "k", F.explode("ws").alias("w")).filter("length(w) > 2")
+    less = F.transform(F.sequence(F.lit(1), F.length("ph")), lambda i: F.concat(F.substring(F.col("ph"), F.lit(1), i - 1), F.substring(F.col("ph"), i + 1, F.length("ph"))))
+    slips = rows.filter("ph <> ''").select("r", "ph", F.explode(F.array_distinct(F.concat(F.array("ph"), less))).alias("k"))
+    slips = slips.join(slips.groupBy("k").agg(F.min("ph").alias("x"), F.max("ph").alias("y")).filter("x <> y").select("k"), "k")
+    slips = slips.select("r", F.concat(F.lit("s"), "k").alias("k")).distinct().join(rows, "r")
+    anchored = rows.withColumn("k", F.explode(anchors)).unionByName(slips.select(*rows.columns, "k"))
+    words = anchored.select("r", "k", F.array_distinct(F.concat(split, joined)).alias("ws")).select("r", "k", F.explode("ws").alias("w")).filter("length(w) > 2")
     full = words.join(F.broadcast(short.withColumnRenamed("s", "w")), "w").select("r", "k", F.col("f").alias("w"))
     close = radius_join(words.unionByName(full), "k", "w", "r")
     x, y = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in rows.columns]) for i in (1, 2))

@@ -169,6 +169,19 @@ def test_names_dates_phones(spark):
     assert distance("abcd", "abdc", 2) == 1 and distance("abcd", "xyzw", 2) == 3
 
 
+def test_slips_of_dates():
+    assert [near_dates(*x) for x in (("1986-12-01", "1986-01-13"), ("1986-01-13", "1986-12-01"), ("1946-02-28", "1945-03-01"), ("1999-12-30", "2001-01-01"), ("2000-02-29", "2001-03-02"))] == ["near"] * 5
+    assert [near_dates(*x) for x in (("1986-12-01", "1986-05-13"), ("1946-02-28", "1943-03-01"), ("1986-12-31", "1986-02-13"))] == ["far"] * 3
+
+
+@pytest.mark.parametrize("phone", ["9876543211", "8976543210"])
+def test_persons_with_slips_in_phone_and_date(spark, phone):
+    rows = [("m1", "Anita Sharmaoli", "9876543210", "F", date(1946, 2, 28), "A+"), ("m2", "Anita Sharmaoli", phone, "F", date(1945, 3, 1), "A+"), ("m3", "Anita Sharmaoli", phone, "F", date(1960, 7, 7), "A+")]
+    df = spark.createDataFrame(rows, "mpi_id string, name string, phone string, gender string, dob date, blood_group string")
+    nick = spark.createDataFrame([("Annu", "Anita")], "short_form string, full_form string")
+    assert [tuple(r) for r in person_pairs(df, nick).collect()] == [("m1", "m2")]
+
+
 def test_persons(spark):
     d = date(1980, 5, 6)
     rows = [
