@@ -107,6 +107,38 @@ def word_match(a: tuple[str, str], b: tuple[str, str], nick: dict[str, set[str]]
     return 0
 
 
+def best_sum(grades: list[list[int]]) -> int:
+    """Greatest sum of one positive grade from each row, all in different columns (at least as many as rows); 0 if there is none.
+
+    An assignment by shortest augmenting paths, cubic in the words of a name.
+    """
+    n, m = len(grades), len(grades[0])
+    none = 4 * n + 1  # dearer than all other rows together
+    cost = [[4 - g if g else none for g in row] for row in grades]
+    u, v, owner = [0] * (n + 1), [0] * (m + 1), [0] * (m + 1)  # column 0 starts each path
+    for i in range(1, n + 1):
+        owner[0], at = i, 0
+        least, back, seen = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while owner[at]:
+            seen[at], row = True, owner[at]
+            for j in range(1, m + 1):
+                if not seen[j] and (c := cost[row - 1][j - 1] - u[row] - v[j]) < least[j]:
+                    least[j], back[j] = c, at
+            to = min((j for j in range(1, m + 1) if not seen[j]), key=least.__getitem__)
+            step = least[to]
+            for j in range(m + 1):
+                if seen[j]:
+                    u[owner[j]] += step
+                    v[j] -= step
+                else:
+                    least[j] -= step
+            at = to
+        while at:
+            owner[at], at = owner[back[at]], back[at]
+    own = [grades[owner[j] - 1][j - 1] for j in range(1, m + 1) if owner[j]]
+    return sum(own) if all(own) else 0
+
+
 def name_match(a: list[tuple[str, str]], b: list[tuple[str, str]], nick: dict[str, set[str]]) -> int:
     """How well two names agree whatever their order: 0 not, else the sum over words of the shorter (all must match, one
     of them as more than an initial). Names run together are compared without blanks."""
@@ -114,15 +146,9 @@ def name_match(a: list[tuple[str, str]], b: list[tuple[str, str]], nick: dict[st
         return 0
     if len(a) > len(b):
         a, b = b, a
-    best = 0
-    if len(b) <= 5:
-        grades = [[word_match(x, y, nick) for y in b] for x in a]
-        for order in permutations(range(len(b)), len(a)):
-            own = [grades[i][j] for i, j in enumerate(order)]
-            if all(own) and max(own) > 1:
-                best = max(best, sum(own))
-        if best and len(a) == 1 and len(b) > 1:
-            best = 0  # one word of several is not a name
+    best = best_sum([[word_match(x, y, nick) for y in b] for x in a])
+    if best <= len(a) or (len(a) == 1 and len(b) > 1):
+        best = 0  # initials alone, or one word of several, are not a name
     if not best and len(a) != len(b):
         for p in permutations(a) if len(a) <= 3 else [a]:
             for q in permutations(b) if len(b) <= 3 else [b]:

@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter
 from datetime import date, datetime
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from quarrylake.llm import queries
 from quarrylake.llm.groups import groups_by_shared, hash_to_min
 from quarrylake.llm.linkage import FEATURES, claim_bill_pairs, fit_logistic, sequence_of, sketches
-from quarrylake.llm.names import distance, name_match, near_dates, near_phones, person_pairs, plain_name, radius_join, sound
+from quarrylake.llm.names import best_sum, distance, name_match, near_dates, near_phones, person_pairs, plain_name, radius_join, sound
 from quarrylake.llm.packing import packed, spread
 from quarrylake.llm.subjects import sentences, subject_areas
 from quarrylake.llm.tokenizer import VOCABULARY, Encoder, RankQueue, encoded, load_merges
@@ -169,6 +170,23 @@ def test_names_dates_phones(spark):
     assert distance("abcd", "abdc", 2) == 1 and distance("abcd", "xyzw", 2) == 3
 
 
+def test_names_of_many_words():
+    w = lambda s: [(x, x) for x in s.split()]
+    six = "maria anita kavitha sharmaoli robert miller"
+    assert name_match(w(six), w(six), {}) == 18 and name_match(w(six), w("miller robert anita k sharmaoli maria"), {}) == 16
+    assert name_match(w(six), w("miller robert anita zoe sharmaoli maria"), {}) == 0 and name_match(w("m a k s r m"), w(six), {}) == 0
+
+
+def test_best_sum_equals_brute_force():
+    rng = random.Random(3)
+    for _ in range(500):
+        n = rng.randint(1, 5)
+        m = rng.randint(n, 6)
+        g = [[rng.choice((0, 0, 1, 2, 3)) for _ in range(m)] for _ in range(n)]
+        sums = [sum(own) for order in itertools.permutations(range(m), n) if all(own := [g[i][j] for i, j in enumerate(order)])]
+        assert best_sum(g) == max(sums, default=0)
+
+
 def test_slips_of_dates():
     assert [near_dates(*x) for x in (("1986-12-01", "1986-01-13"), ("1986-01-13", "1986-12-01"), ("1946-02-28", "1945-03-01"), ("1999-12-30", "2001-01-01"), ("2000-02-29", "2001-03-02"))] == ["near"] * 5
     assert [near_dates(*x) for x in (("1986-12-01", "1986-05-13"), ("1946-02-28", "1943-03-01"), ("1986-12-31", "1986-02-13"))] == ["far"] * 3
