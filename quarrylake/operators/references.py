@@ -52,12 +52,15 @@ def reference_status(refs: DataFrame, targets: DataFrame, column: str, target_co
 
     targets is aggregated to one row per key with `facts` (name -> aggregate), so it can be any size and repeat keys; a
     reference without one is `missing`, otherwise the first of `kinds` (name, condition over refs and facts) that is true
-    counts, and references for which none is are left out. The mask without nulls is the only one that a reference of one
-    column can fail, so it alone is joined; keys with many references are split (see lookup). A null condition is not true.
+    counts, and references for which none is are left out. The missing ones come from orphans() with a simple match; only the
+    kinds are joined, and keys with many references are split there (see lookup). A null condition is not true.
     """
-    (_, rows), _ = by_null_mask(refs.withColumn("__ref", F.col(column)), ["__ref"])
-    known = targets.filter(F.col(target_column).isNotNull()).groupBy(F.col(target_column).alias("__ref")).agg(*[v.alias(k) for k, v in facts.items()]).withColumn("__there", F.lit(True))
-    kind = F.when(F.col("__there").isNull(), "missing")
-    for name, cond in kinds:
-        kind = kind.when(cond, name)
-    return lookup(rows, known, ["__ref"]).withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull()).drop("__ref", "__there", *facts)
+    refs = refs.withColumn("__ref", F.col(column))
+    missing = orphans(refs, targets, ["__ref"], [target_column], "simple").withColumn("orphan_kind", F.lit("missing"))
+    known = targets.filter(F.col(target_column).isNotNull()).groupBy(F.col(target_column).alias("__ref")).agg(*[v.alias(k) for k, v in facts.items()])
+    kind = F.lit(None).cast("string")
+    for name, cond in reversed(kinds):
+        kind = F.when(cond, name).otherwise(kind)
+    (_, rows), _ = by_null_mask(refs, ["__ref"])
+    found = lookup(rows, known, ["__ref"], "inner").withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull())
+    return found.drop("__ref", *facts).unionByName(missing.drop("__ref"))

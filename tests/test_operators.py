@@ -191,3 +191,11 @@ def test_pairs_of_blocks_of_any_size(spark):
     small = df.filter("id < 5")
     assert sorted(map(str, block_pairs(small, "id", keys).collect())) == sorted(map(str, candidate_pairs(small, "id", keys, 5).collect()))
     assert block_pairs(df.limit(0), "id", keys).count() == 0
+
+
+def test_missing_references_by_anti_join(spark):
+    r = spark.createDataFrame([(1, 5), (2, 6), (3, None), (4, 7), (4, 7)], "id int, x int").withColumn("at", F.lit(3))
+    t = spark.createDataFrame([(5, 1), (5, 9), (6, 8), (None, 0)], "x int, seen int")
+    got = reference_status(r, t, "x", "x", {"f": F.min("seen")}, [("late", F.col("f") > F.col("at")), ("never", F.lit(None).cast("boolean"))])
+    assert sorted((q["id"], q["orphan_kind"]) for q in got.collect()) == [(2, "late"), (4, "missing"), (4, "missing")]
+    assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
