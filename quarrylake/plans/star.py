@@ -386,9 +386,12 @@ def registry_ids(spark, folder):
 
 @query()
 def soundex_blocks(spark, folder):
-    """Customers' segments and nations by sound (no SQL twin: the other engine has no soundex)."""
-    n = table(spark, folder, "nation")
-    return n.groupBy(F.soundex("n_name").alias("sound")).agg(F.count(F.lit(1)).alias("n"), F.min("n_name").alias("first_name"))
+    """Candidate pairs of patients by the sound of first and last name with birth date, birth year or city (no SQL twin: the other engine has no soundex)."""
+    p = table(spark, folder, "patient_master").select("mpi_id", "dob", F.lower(F.trim("city")).alias("city"), F.split(normalize_name(F.col("name")), " ").alias("w"))
+    first, last = F.soundex(F.get("w", F.lit(0))), F.when(F.size("w") > 1, F.soundex(F.element_at("w", -1)))
+    both = lambda *c: F.when(F.greatest(*[x.isNull() | (x == "") for x in c]) == F.lit(False), F.concat_ws("|", *c))
+    keys = {"date": both(first, F.col("dob").cast("string")), "year": both(first, last, F.year("dob").cast("string")), "city": both(first, last, F.col("city"))}
+    return block_pairs(p, "mpi_id", keys).withColumn("strategies", F.array_join("strategies", ","))
 
 
 # --- intervals ------------------------------------------------------------------------------------------------------

@@ -199,3 +199,24 @@ def test_missing_references_by_anti_join(spark):
     got = reference_status(r, t, "x", "x", {"f": F.min("seen")}, [("late", F.col("f") > F.col("at")), ("never", F.lit(None).cast("boolean"))])
     assert sorted((q["id"], q["orphan_kind"]) for q in got.collect()) == [(2, "late"), (4, "missing"), (4, "missing")]
     assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_soundex_blocks_equal_brute_force(spark, tmp_path):
+    rows = [("1", "Robert Miller", "1980-01-02", "Pune"), ("2", "Rupert Muller", "1980-05-06", "Delhi"), ("3", "Rupert Meller", None, "pune "), ("4", "Robert", "1980-01-02", None), ("5", "Anna Miller", "1980-01-02", "Pune"), ("6", None, "1980-01-02", "Pune"), ("7", "Robert", None, "Pune")]
+    spark.createDataFrame(rows, "mpi_id string, name string, dob string, city string").withColumn("dob", F.col("dob").cast("date")).write.parquet(str(tmp_path / "patient_master.parquet"))
+    sound = {"robert": "R163", "rupert": "R163", "anna": "A500", "miller": "M460", "muller": "M460", "meller": "M460"}
+
+    def keys(name, dob, city):
+        w = [sound[x] for x in (name or "").lower().split()]
+        first, last = (w or [None])[0], w[-1] if len(w) > 1 else None
+        parts = {"date": (first, dob), "year": (first, last, dob and dob[:4]), "city": (first, last, city and city.strip().lower())}
+        return {(k, *v) for k, v in parts.items() if all(v)}
+
+    want = {}
+    for x in rows:
+        for y in rows:
+            if x[0] < y[0] and (shared := keys(*x[1:]) & keys(*y[1:])):
+                want[x[0], y[0]] = ",".join(sorted(k[0] for k in shared))
+    from quarrylake.plans.star import soundex_blocks
+
+    assert len(want) == 3 and {(r["a"], r["b"]): r["strategies"] for r in soundex_blocks(spark, str(tmp_path)).collect()} == want
