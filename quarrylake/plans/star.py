@@ -620,6 +620,44 @@ def replace_where(spark, folder):
     return store.read("orders")
 
 
+_WHOLE = "a as (select o_orderkey, o_orderstatus, o_totalprice from orders), b as (select o_orderkey, 'X' as o_orderstatus, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 2 = 0 union all select -o_orderkey, 'N', o_totalprice from orders where o_orderkey % 2 <> 0)"
+
+
+def _merged_whole(spark, folder, how):
+    """All orders merged with a source that has a changed or a new key from each of them."""
+    a = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    k, even = F.col("o_orderkey"), F.col("o_orderkey") % 2 == 0
+    b = a.select(F.when(even, k).otherwise(-k).alias("o_orderkey"), F.when(even, "X").otherwise("N").alias("o_orderstatus"), (F.col("o_totalprice") + even.cast("int")).alias("o_totalprice"))
+    store = _store(spark)
+    store.overwrite("orders", a)
+    how(store, b)
+    return store.read("orders")
+
+
+@query(f"with {_WHOLE} select * from b union all select * from a where o_orderkey not in (select o_orderkey from b)")
+def merge_upsert_whole(spark, folder):
+    """Update and insert by key, from all orders."""
+    return _merged_whole(spark, folder, lambda s, b: s.upsert("orders", b, ["o_orderkey"]))
+
+
+@query(f"with {_WHOLE} select * from a union all select * from b where o_orderkey not in (select o_orderkey from a)")
+def merge_insert_only_whole(spark, folder):
+    """Insert of new keys, twice with the same result, from all orders."""
+    return _merged_whole(spark, folder, lambda s, b: [s.insert_new("orders", b, ["o_orderkey"]) for _ in range(2)])
+
+
+@query(f"with {_WHOLE} select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when a.o_orderkey is null or (b.o_orderkey is not null and a.o_orderstatus = 'F') then b.o_orderstatus else a.o_orderstatus end as o_orderstatus, coalesce(a.o_totalprice, b.o_totalprice) as o_totalprice from a full join b on a.o_orderkey = b.o_orderkey")
+def merge_conditional_whole(spark, folder):
+    """Update of one column where a condition holds, and insert, from all orders."""
+    return _merged_whole(spark, folder, lambda s, b: s.merge("orders", b, ["o_orderkey"], ["o_orderstatus"], lambda t, _: t("t.o_orderstatus") == "F"))
+
+
+@query(f"with {_WHOLE} select * from a")
+def replace_where_whole(spark, folder):
+    """A part of all orders written again, with the same result."""
+    return _merged_whole(spark, folder, lambda s, _: s.replace_where("orders", s.read("orders").filter("o_orderstatus = 'F'"), F.col("o_orderstatus") == "F"))
+
+
 @query("select count(*) as n, true as same_again, true as order_free from orders")
 def table_checksum(spark, folder):
     """Rows and whether the checksum is the same again and for other partitions."""
