@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookup import lookup
 from .windows import first_by
 
 
@@ -65,9 +66,9 @@ def weighted_score(parts: Mapping[str, Column], weights: Mapping[str, float], di
 
 
 def exact_links(df: DataFrame, record: str, key: str) -> DataFrame:
-    """(a, b): each record of a non-null key linked to the least one, so links are as many as records."""
+    """(a, b): each record of a non-null key linked to the least one, so links are as many as records; hot keys are split."""
     rows = df.select(F.col(record).alias("b"), F.col(key).alias("__k")).dropna().distinct()
-    return rows.join(rows.groupBy("__k").agg(F.min("b").alias("a")), "__k").filter("a < b").select("a", "b")
+    return lookup(rows, rows.groupBy("__k").agg(F.min("b").alias("a")), ["__k"], "inner").filter("a < b").select("a", "b")
 
 
 def three_way(score: Column, accept: float, review: float) -> Column:

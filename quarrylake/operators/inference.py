@@ -8,22 +8,42 @@ from pyspark.sql import functions as F
 from .windows import most_frequent
 
 
+def _share_a_piece(names: DataFrame, entries: DataFrame, most_ratio: float) -> DataFrame:
+    """names (__n) with the entries (__cn, __cc) that can lie within the ratio; no such pair is lost.
+
+    An entry of length m can be at most t = m * ratio / (1 - ratio) edits from a name within the ratio. Cut into t + 1 pieces,
+    one of them stands unchanged in the name, at most t places from its own: so a name is asked for its own pieces of every
+    length an entry can have, at those places, and the two meet by equality of (m, piece's number, piece).
+    """
+    edits = lambda m: F.floor(m * F.lit(most_ratio / (1 - most_ratio)) + F.lit(1e-9)).cast("int")
+    begin = lambda m, t, i: F.floor(i * m / (t + 1)).cast("int")
+    m, t, i, p = map(F.col, ("__m", "__t", "__i", "__p"))
+    entries = entries.withColumn("__m", F.length("__cn")).withColumn("__t", edits(m)).withColumn("__i", F.explode(F.sequence(F.lit(0), t)))
+    entries = entries.withColumn("__piece", F.substring(F.col("__cn"), begin(m, t, i) + 1, begin(m, t, i + 1) - begin(m, t, i))).drop("__t")
+    n = F.length("__n")
+    reach = F.floor(n * F.lit(most_ratio / (1 - most_ratio)) + F.lit(1e-9)).cast("int")
+    asked = names.withColumn("__m", F.explode(F.sequence(F.greatest(n - reach, F.lit(0)), n + reach))).withColumn("__t", edits(m)).withColumn("__i", F.explode(F.sequence(F.lit(0), t)))
+    asked = asked.withColumns({"__b": begin(m, t, i), "__l": begin(m, t, i + 1) - begin(m, t, i)})
+    first, last = F.greatest(F.col("__b") - t, F.lit(0)), F.least(F.col("__b") + t, n - F.col("__l"))
+    asked = asked.filter(first <= last).withColumn("__p", F.explode(F.sequence(first, last)))
+    asked = asked.select("__n", "__m", "__i", F.substring(F.col("__n"), p + 1, F.col("__l")).alias("__piece")).distinct()
+    return asked.join(entries, ["__m", "__i", "__piece"]).select("__n", "__cn", "__cc").distinct()
+
+
 def infer_codes(items: DataFrame, catalogue: DataFrame, item: str, name: str, group: str, code: str, most_ratio: float = 0.15) -> DataFrame:
     """items with inferred_code, tier and confidence.
 
     SOURCE: the item's own code (1.0). EXACT_NAME: the catalogue's entry of that name (0.95; the least code of several).
     FUZZY_NAME: the entry whose name is nearest by edit distance, if within most_ratio of the longer length and strictly nearer
     than any other code's (1 - ratio). GROUP: the most frequent code of the group (0.4). UNMAPPED (0). Catalogue columns are
-    `name`, `group`, `code`; it is joined on name lengths that can lie within the ratio, and only with the distinct names that
-    are in no tier yet. Null names skip the name tiers, null groups the group tier.
+    `name`, `group`, `code`; it is met only by the distinct names that are in no tier yet, over pieces of names that any pair
+    within the ratio must share. Null names skip the name tiers, null groups the group tier.
     """
     cat = catalogue.select(F.col(name).alias("__cn"), F.col(group).alias("__cg"), F.col(code).alias("__cc")).dropna(subset=["__cc"])
     exact = cat.filter("__cn is not null").groupBy(F.col("__cn").alias(name)).agg(F.min("__cc").alias("__exact"))
     rows = items.join(exact, name, "left")
     todo = rows.filter(F.col(code).isNull() & F.col("__exact").isNull() & F.col(name).isNotNull()).select(F.col(name).alias("__n")).distinct()
-    reach = lambda c: F.floor(F.length(c) * most_ratio / (1 - most_ratio)).cast("int")
-    left = todo.withColumn("__len", F.explode(F.sequence(F.length("__n") - reach("__n"), F.length("__n") + reach("__n"))))
-    close = left.join(cat.filter("__cn is not null").select("__cn", "__cc").distinct().withColumn("__len", F.length("__cn")), "__len")
+    close = _share_a_piece(todo, cat.filter("__cn is not null").select("__cn", "__cc").distinct(), most_ratio)
     close = close.withColumn("__d", F.levenshtein("__n", "__cn")).withColumn("__r", F.col("__d") / F.greatest(F.length("__n"), F.length("__cn")))
     near = close.filter(F.col("__r") <= most_ratio).groupBy("__n", "__cc").agg(F.min("__d").alias("__d"), F.min("__r").alias("__r"))
     w = Window.partitionBy("__n").orderBy("__d", "__cc")

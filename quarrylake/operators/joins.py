@@ -8,36 +8,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .history import as_of
+from .lookup import lookup
 
 
 def point_in_time(facts: DataFrame, versions: DataFrame, key: str, day: str, carry: Sequence[str], start: str = "valid_from", end: str = "valid_to", how: str = "left") -> DataFrame:
     """facts with `carry` of the version whose closed period holds the day. Versions of a key must not overlap.
 
-    left keeps facts without such a version with nulls; repeated facts stay. Keys with many facts are split (see as_of).
+    left keeps facts without such a version with nulls; repeated facts stay. Keys and pairs of key and day with many facts are
+    split (see as_of). Facts may have columns named as in `carry` only if they are not wanted: the versions' come out.
     """
-    facts = facts.withColumn("__fact", F.struct(*[F.col(f"`{c}`") for c in facts.columns]))
-    distinct = facts.select(F.col(key), F.col(day)).distinct()
-    found = as_of(distinct, versions, key, day, start, end, carry)
-    out = facts.join(found, [key, day], how)
-    return out.select("__fact.*", *carry)
+    kept = [c for c in facts.columns if c not in carry]
+    return as_of(facts.select(*[F.col(f"`{c}`") for c in kept]), versions, key, day, start, end, carry, how)
 
 
 def wildcard_match(facts: DataFrame, rules: DataFrame, on: Sequence[str], key: str, order: Sequence[Column], day: str | None = None, wild: str = "*", how: str = "left") -> DataFrame:
     """Each fact with the best rule: every `on` column is equal or the wildcard, the day (if given) lies from effective_from
     to effective_to, and `order` over the rule's columns decides (then rule_id). Rule columns get the prefix rule_.
 
-    Rules are expanded by the facts' distinct combinations of `on`, so that the large side is joined by equality and not by
-    a condition over all pairs; combinations are few as each is a combination of codes. Null codes match wildcards only.
+    The facts' distinct combinations of `on` and day are met with the rules by equality: each combination is repeated once
+    for every choice of wildcards (2 ** columns), so no condition over all pairs is left. The best rule is picked among a
+    combination's rules, and only then joined back to the facts, hot combinations split (see lookup): no fact goes through a
+    window. Null codes match wildcards only; `key` is not read and stands for the fact's own.
     """
     rules = rules.select(*[F.col(c).alias(c if c.startswith("rule_") else f"rule_{c}") for c in rules.columns])
-    combos = facts.select(*on).distinct()
-    cond = F.lit(True)
-    for c in on:
-        cond = cond & (F.col(f"rule_{c}").eqNullSafe(F.col(c)) | (F.col(f"rule_{c}") == wild))
-    fits = combos.join(rules, cond)
-    hit = facts.join(fits, [facts[c].eqNullSafe(fits[c]) for c in on] + ([F.col(day).between(F.col("rule_effective_from"), F.col("rule_effective_to"))] if day else []), how).drop(*[fits[c] for c in on])
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order, F.col("rule_rule_id" if "rule_rule_id" in rules.columns else "rule_id").asc_nulls_last()))
-    return hit.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    by = [*on, *([day] if day else [])]
+    # combinations are one struct, in which null is equal to null
+    combo = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(by)])
+    combos = facts.select(combo.alias("__combo")).distinct()
+    field = lambda i: F.col(f"__combo.c{i}")
+    choices = [F.struct(*[(F.lit(wild) if w >> i & 1 else field(i).cast("string")).alias(f"w{i}") for i in range(len(on))]) for w in range(2 ** len(on))]
+    asked = combos.select("__combo", F.explode(F.array_distinct(F.array(*choices))).alias("w")).select("__combo", "w.*")
+    fits = asked.join(rules, [F.col(f"w{i}") == F.col(f"rule_{c}").cast("string") for i, c in enumerate(on)]).drop(*[f"w{i}" for i in range(len(on))])
+    if day:
+        fits = fits.filter(field(len(on)).between(F.col("rule_effective_from"), F.col("rule_effective_to")))
+    rank = F.row_number().over(Window.partitionBy("__combo").orderBy(*order, F.col("rule_rule_id" if "rule_rule_id" in rules.columns else "rule_id").asc_nulls_last()))
+    best = fits.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    return lookup(facts.withColumn("__combo", combo), best, ["__combo"], how).drop("__combo")
 
 
 def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], bands: Mapping[tuple[str, str], float], ratio: Mapping[tuple[str, str], float] | None = None) -> DataFrame:

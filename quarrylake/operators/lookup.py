@@ -27,14 +27,15 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list
     return [(*r, math.ceil(r["__rows"] / most)) for r in top if r["__rows"] > most and r["__rows"] > 1]
 
 
-def lookup(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", share: float = HOT_SHARE) -> DataFrame:
+def lookup(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", share: float = HOT_SHARE, hot: list[tuple] | None = None) -> DataFrame:
     """facts joined with `table`, which has one row for a key, where any key may hold a third of the facts.
 
     Rows of a hot key are spread over as many parts as needed, and only the table's rows of hot keys are repeated, once a
     part: at most 2 / share more rows. Other keys are joined as they are. Null keys match nothing (left keeps the facts).
-    Columns besides `on` must have different names on the two sides. `how` is left or inner.
+    Columns besides `on` must have different names on the two sides. `how` is left, inner, left_semi or left_anti. `hot` are
+    the hot keys if the caller knows them, as hot_keys gives them.
     """
-    hot = hot_keys(facts, on, share)
+    hot = hot_keys(facts, on, share) if hot is None else hot
     if not hot:
         return facts.join(table, list(on), how)
     spark = facts.sparkSession

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,22 +10,17 @@ from pyspark.sql import functions as F
 from .lookup import lookup
 
 
-def by_null_mask(refs: DataFrame, columns: Sequence[str]) -> list[tuple[tuple[str, ...], DataFrame]]:
-    """(non-null columns, rows) for each way in which the reference columns can be null: 2 ** columns masks."""
-    out = []
-    for mask in product((True, False), repeat=len(columns)):
-        here = tuple(c for c, there in zip(columns, mask) if there)
-        cond = F.lit(True)
-        for c, there in zip(columns, mask):
-            cond = cond & (F.col(c).isNotNull() if there else F.col(c).isNull())
-        out.append((here, refs.filter(cond)))
-    return out
+def null_mask(columns: Sequence[Column]) -> Column:
+    """Which of the columns are not null, as a number: the first column is the lowest bit."""
+    return sum((F.when(c.isNotNull(), 2**i).otherwise(0) for i, c in enumerate(columns)), F.lit(0)).cast("int")
 
 
 def orphans(refs: DataFrame, targets: DataFrame, columns: Sequence[str], target_columns: Sequence[str] | None = None, match: str = "simple") -> DataFrame:
     """Rows of refs whose composite reference has no target.
 
-    References are grouped by null mask and each mask is anti-joined on its non-null columns. match, as in SQL: `simple`, a
+    References are grouped by null mask and those of each mask are anti-joined on its non-null columns: the mask is a number
+    beside the columns, each target is there once for every mask that the match looks at with the other columns taken out,
+    and all masks share one shuffle, in which hot references are split (see lookup). match, as in SQL: `simple`, a
     reference with any null is no orphan; `partial`, the non-null columns must agree with some target, all null is no
     orphan; `full`, all null is no orphan and a part of nulls always is. Repeated references stay. Empty targets: every
     reference that the match considers is an orphan. Extra columns of refs are kept, those of targets are not read.
@@ -34,17 +28,20 @@ def orphans(refs: DataFrame, targets: DataFrame, columns: Sequence[str], target_
     if match not in ("simple", "partial", "full"):
         raise ValueError(f"match is simple, partial or full, not {match}")
     target_columns = list(target_columns or columns)
-    found = None
-    for here, rows in by_null_mask(refs, columns):
-        whole = len(here) == len(columns)
-        if not here or (match == "simple" and not whole):
-            continue
-        if whole or match == "partial":
-            keys = targets.select(*[F.col(target_columns[list(columns).index(c)]).alias(f"__t_{c}") for c in here]).dropna().distinct()
-            on = [F.col(c) == F.col(f"__t_{c}") for c in here]
-            rows = rows.join(keys, on, "left_anti")
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    whole = 2 ** len(columns) - 1
+    masks = list(range(1, whole + 1)) if match == "partial" else [whole]
+    mask = null_mask([F.col(f"`{c}`") for c in columns])
+    # structs compare field by field and take null for equal to null; the mask says which fields count
+    here = F.struct(F.col("__mask").alias("m"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = refs.withColumn("__mask", mask)
+    asked = rows.filter(F.col("__mask").isin(masks)).withColumn("__ref_key", here)
+    there = [F.struct(F.lit(m).alias("m"), *[F.when(F.lit(bool(m >> i & 1)), F.col(f"`{t}`")).cast(refs.schema[c].dataType).alias(f"c{i}") for i, (c, t) in enumerate(zip(columns, target_columns))]) for m in masks]
+    keys = targets.select(F.explode(F.array(*there)).alias("__ref_key"))
+    filled = null_mask([F.col(f"__ref_key.c{i}") for i in range(len(columns))]) == F.col("__ref_key.m")
+    found = lookup(asked, keys.filter(filled).distinct(), ["__ref_key"], "left_anti").drop("__ref_key")
+    if match == "full":
+        found = found.unionByName(rows.filter((F.col("__mask") > 0) & (F.col("__mask") < whole)))
+    return found.drop("__mask")
 
 
 def reference_status(refs: DataFrame, targets: DataFrame, column: str, target_column: str, facts: dict[str, Column], kinds: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -61,6 +58,5 @@ def reference_status(refs: DataFrame, targets: DataFrame, column: str, target_co
     kind = F.lit(None).cast("string")
     for name, cond in reversed(kinds):
         kind = F.when(cond, name).otherwise(kind)
-    (_, rows), _ = by_null_mask(refs, ["__ref"])
-    found = lookup(rows, known, ["__ref"], "inner").withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull())
+    found = lookup(refs.filter(F.col("__ref").isNotNull()), known, ["__ref"], "inner").withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull())
     return found.drop("__ref", *facts).unionByName(missing.drop("__ref"))

@@ -15,25 +15,27 @@ def total(df: DataFrame, order: Sequence[Column]) -> list[Column]:
     return [*order, joined([F.col(f"`{c}`") for c in sorted(df.columns)])]
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, unique: bool = False) -> DataFrame:
     """The first n rows of each key. The rank limit is pushed before the shuffle, so a hot key sends n rows a task.
 
-    Null keys are a group of their own; ties fall to the text of the row; an empty table stays empty.
+    Null keys are a group of their own; ties fall to the text of the row, which `unique` leaves out where the order has no
+    ties within a key; an empty table stays empty.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*total(df, order)))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*(order if unique else total(df, order))))
     return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
 
 
-def sequence_with_neighbours(df: DataFrame, key: str, order: Sequence[str], state: str, day: str) -> DataFrame:
+def sequence_with_neighbours(df: DataFrame, key: str, order: Sequence[str], state: str, day: str, unique: bool = False) -> DataFrame:
     """Rows numbered within the key, with the state before and after and the days spent in the one before."""
-    w = Window.partitionBy(key).orderBy(*total(df, [F.col(c) for c in order]))
+    by = [F.col(c) for c in order]
+    w = Window.partitionBy(key).orderBy(*(by if unique else total(df, by)))
     return df.withColumns({"seq": F.row_number().over(w), "prev_state": F.lag(state).over(w), "next_state": F.lead(state).over(w), "days_in_prev": F.datediff(F.col(day), F.lag(day).over(w))})
 
 
 def most_frequent(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, value, n): the most frequent non-null value of each key, the least of equally frequent ones."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    return first_by(counts, keys, [F.desc("n"), F.asc(value)])
+    return first_by(counts, keys, [F.desc("n"), F.asc(value)], unique=True)
 
 
 def repeat_within(df: DataFrame, scope: Sequence[str], start: str, end: str, unique: str, days: int = 30) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import row_hash, same_text
-from ..operators.history import as_of, periods, snapshot_changes, standing, type2_merge
+from ..operators.history import History, as_of, periods, snapshot_changes, standing, type2_loads
 from ..operators.references import reference_status
 
 VERSIONED = ("department", "hospital_id", "specialty", "designation")
@@ -16,10 +16,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def doctor_history(doctors: DataFrame) -> History:
+    """The doctors' history: the loads of each year of arrival merged into what was stored of the years before."""
+    return type2_loads(doctors, F.year("dw_updated_at"), "doctor_id", "effective_from", "effective_to", {c: same_text(F.col(c)) for c in VERSIONED}, ["dw_updated_at"])
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every version of every doctor with the first and last day it holds."""
     doctors = table(spark, folder, "dim_doctor")
-    versions = type2_merge(None, doctors, "doctor_id", "effective_from", "effective_to", {c: same_text(F.col(c)) for c in VERSIONED}, ["dw_updated_at"])
+    versions = doctor_history(doctors).versions
     day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
     return versions.select("doctor_id", day("valid_from"), day("valid_to"))
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar
 from ..functions.similarity import jaro_winkler
-from ..functions.text import normalize_name, normalize_phone, reference_sequence, sha_key
+from ..functions.text import normalize_name, normalize_phone, reference_sequence, sha_key, title_pattern
 from ..operators.entity import assign_stable_ids, block_pairs, candidate_pairs, exact_links, oversized, pair_quality, survivors, three_way, weighted_score
 from ..operators.graph import components
-from ..operators.history import type2_merge
+from ..operators.history import close_open, type2_loads, type2_merge
 from ..operators.inference import infer_codes
 from ..operators.intervals import daily_state, open_on_days, segments
+from ..operators.lookup import lookup
 from ..operators.joins import band_join, point_in_time, wildcard_match
 from ..operators.quality import Check, evaluate
 from ..operators.references import orphans
@@ -94,7 +95,7 @@ _REACH = {s: sorted(t) for s, t in closure(_MOVES).items()}
 
 def _sequence(spark, folder):
     e = table(spark, folder, "events").select("user_id", "event_id", "event_type", F.col("ts"), F.to_date("ts").alias("day"))
-    return sequence_with_neighbours(e, "user_id", ["ts", "event_id"], "event_type", "day")
+    return sequence_with_neighbours(e, "user_id", ["ts", "event_id"], "event_type", "day", unique=True)
 
 
 @query(f"{_SEQ} select user_id, event_id, seq, prev_state, next_state, days_in_prev from s")
@@ -124,17 +125,16 @@ b as (select o_custkey, version, min(p) as p, min(d) as valid_from from v group
 h as (select o_custkey, version::bigint as version, p, valid_from, coalesce(lead(valid_from) over (partition by o_custkey order by valid_from) - interval 1 day, date '9999-12-31')::date as valid_to from b)"""
 
 
-def _versions(spark, folder):
-    o = table(spark, folder, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"), F.lit(None).cast("date").alias("until"), "o_orderpriority", "o_orderkey")
-    v = type2_merge(None, o, "o_custkey", "d", "until", {"o_orderpriority": F.col("o_orderpriority")}, ["o_orderkey"])
-    names = o.select(sha_row("o_orderpriority"), F.col("o_orderpriority").alias("p")).distinct()
-    return v.join(names, "hash_diff")
+def _priority():
+    return "o_custkey", "d", "until", {"p": F.col("o_orderpriority")}, ["o_orderkey"]
+
 
+def _prioritised(spark, folder):
+    return table(spark, folder, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"), F.lit(None).cast("date").alias("until"), "o_orderpriority", "o_orderkey")
 
-def sha_row(c):
-    from ..functions.text import row_hash
 
-    return row_hash([F.col(c)]).alias("hash_diff")
+def _versions(spark, folder):
+    return type2_merge(None, _prioritised(spark, folder), *_priority()).versions
 
 
 @query(f"{_VERSIONS} select o_custkey, version, p, strftime(valid_from, '%Y-%m-%d') as valid_from, strftime(valid_to, '%Y-%m-%d') as valid_to, valid_to = date '9999-12-31' as is_current from h")
@@ -152,12 +152,23 @@ def scd2_current(spark, folder):
 @query(f"{_VERSIONS} select o_custkey, p, strftime(valid_from, '%Y-%m-%d') as valid_from, strftime(valid_to, '%Y-%m-%d') as valid_to from h")
 def scd2_incremental(spark, folder):
     """The same versions from two loads merged one after the other."""
-    o = table(spark, folder, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"), F.lit(None).cast("date").alias("until"), "o_orderpriority", "o_orderkey")
-    arg = ("o_custkey", "d", "until", {"o_orderpriority": F.col("o_orderpriority")}, ["o_orderkey"])
-    first = written(type2_merge(None, o.filter("d < '1998-01-01'"), *arg), "versions")
-    v = type2_merge(first, o.filter("d >= '1998-01-01'"), *arg)
-    names = o.select(sha_row("o_orderpriority"), F.col("o_orderpriority").alias("p")).distinct()
-    return v.join(names, "hash_diff").select("o_custkey", "p", text_day("valid_from"), text_day("valid_to"))
+    o = _prioritised(spark, folder)
+    first = type2_merge(None, o.filter("d < '1998-01-01'"), *_priority()).stored()
+    v = type2_merge(first, o.filter("d >= '1998-01-01'"), *_priority()).versions
+    return v.select("o_custkey", "p", text_day("valid_from"), text_day("valid_to"))
+
+
+@query(f"{_VERSIONS} select o_custkey, version, p, strftime(valid_from, '%Y-%m-%d') as valid_from, strftime(valid_to, '%Y-%m-%d') as valid_to from h")
+def scd2_late(spark, folder):
+    """The same versions from loads that arrive in no order of time: each holds rows of all years."""
+    v = type2_loads(_prioritised(spark, folder), F.pmod(F.xxhash64("o_orderkey"), F.lit(3)), *_priority()).versions
+    return v.select("o_custkey", *big("version"), "p", text_day("valid_from"), text_day("valid_to"))
+
+
+@query(f"{_VERSIONS} select o_custkey, p, strftime(least(valid_to, case when valid_to = date '9999-12-31' and valid_from <= date '1998-06-30' then date '1998-06-30' else valid_to end), '%Y-%m-%d') as valid_to, valid_to = date '9999-12-31' and valid_from > date '1998-06-30' as is_current from h")
+def scd2_closed(spark, folder):
+    """Versions with those open at the middle of 1998 closed there."""
+    return close_open(_versions(spark, folder), F.lit("1998-06-30").cast("date")).select("o_custkey", "p", text_day("valid_to"), "is_current")
 
 
 _PIT = f"""{_VERSIONS},
@@ -166,43 +177,49 @@ j as (select f.o_custkey, f.ship, t.p as p_then, n.p as p_now from f left join h
 
 
 def _pit(spark, folder):
+    """Counts of lines by priority then and now. Versions are written once, as both joins read them."""
     o = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    f = table(spark, folder, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("ship")).join(o, "l_orderkey")
-    v = _versions(spark, folder)
+    f = table(spark, folder, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("ship")).join(o, "l_orderkey").groupBy("o_custkey", "ship").agg(F.count(F.lit(1)).alias("n"))
+    v = written(_versions(spark, folder).select("o_custkey", "valid_from", "valid_to", "is_current", "p"), "versions")
     then = point_in_time(f, v.withColumnRenamed("p", "p_then"), "o_custkey", "ship", ["p_then"])
-    return then.join(v.filter("is_current").select("o_custkey", F.col("p").alias("p_now")), "o_custkey", "left")
+    now = v.filter("is_current").select("o_custkey", F.col("p").alias("p_now"))
+    return lookup(then.groupBy("o_custkey", "p_then").agg(F.sum("n").alias("n")), now, ["o_custkey"]).groupBy("p_then", "p_now").agg(F.sum("n").alias("n"))
 
 
 @query(f"{_PIT} select p_then, p_now, count(*) as n from j group by 1, 2")
 def pit_join(spark, folder):
     """Shipped lines by the customer's priority at the time and now."""
-    return _pit(spark, folder).groupBy("p_then", "p_now").agg(F.count(F.lit(1)).alias("n"))
+    return _pit(spark, folder)
 
 
 @query(f"""{_PIT}, x as (select p_then as p, count(*) as n from j group by 1), y as (select p_now as p, count(*) as n from j group by 1)
-select coalesce(x.p, y.p) as p, coalesce(x.n, 0) as n_then, coalesce(y.n, 0) as n_now, round((coalesce(y.n, 0) - coalesce(x.n, 0)) / nullif(x.n, 0)::double, 6) as share from x full join y on x.p = y.p""")
+select coalesce(x.p, y.p) as p, coalesce(x.n, 0) as n_then, coalesce(y.n, 0) as n_now, round((coalesce(y.n, 0) - coalesce(x.n, 0)) / nullif(x.n, 0)::double, 6) as share from x full join y on x.p is not distinct from y.p""")
 def attribution_gap(spark, folder):
     """Lines by priority at the time against those by the present one."""
-    j = _pit(spark, folder)
-    count = lambda c, n: j.groupBy(F.col(c).alias("p")).agg(F.count(F.lit(1)).alias(n))
-    out = count("p_then", "a").join(count("p_now", "b"), "p", "full").na.fill(0, ["a", "b"])
+    # one aggregate by both, folded into each: no second run of the joins
+    sides = F.array(F.struct(F.col("p_then").alias("p"), F.col("n").alias("a"), F.lit(0).cast("bigint").alias("b")), F.struct(F.col("p_now").alias("p"), F.lit(0).cast("bigint").alias("a"), F.col("n").alias("b")))
+    out = _pit(spark, folder).select(F.inline(sides)).groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     return out.select("p", F.col("a").alias("n_then"), F.col("b").alias("n_now"), F.round((F.col("b") - F.col("a")) / F.nullif(F.col("a"), F.lit(0)), 6).alias("share"))
 
 
 # --- rules, links, codes --------------------------------------------------------------------------------------------
 
-_RULES = [("R1", "A", "F", 1, 0.10), ("R2", "A", "*", 2, 0.20), ("R3", "*", "O", 3, 0.05), ("R4", "*", "*", 9, 0.0), ("R5", "R", "F", 1, 0.15)]
-_RULES_SQL = "(values " + ", ".join(f"('{a}', '{b}', '{c}', {d}, {e})" for a, b, c, d, e in _RULES) + ") as r(rule_id, l_returnflag, l_linestatus, priority, pct)"
+_RULES = [
+    ("R1", "A", "F", 1, 0.10, "1992-01-01", "9999-12-31"), ("R2", "A", "*", 2, 0.20, "1992-01-01", "1996-12-31"), ("R3", "*", "O", 3, 0.05, "1992-01-01", "9999-12-31"),
+    ("R4", "*", "*", 9, 0.0, "1992-01-01", "9999-12-31"), ("R5", "R", "F", 1, 0.15, "1994-07-01", "1997-06-30"), ("R6", "R", "F", 1, 0.12, "1997-07-01", "9999-12-31"),
+]
+_RULES_SQL = "(values " + ", ".join(f"('{a}', '{b}', '{c}', {d}, {e}, date '{f}', date '{g}')" for a, b, c, d, e, f, g in _RULES) + ") as r(rule_id, l_returnflag, l_linestatus, priority, pct, effective_from, effective_to)"
 
 
-@query(f"""select f.l_returnflag, f.l_linestatus, f.rule_id, count(*) as n from (select l.*, r.rule_id, row_number() over (partition by l.id order by r.priority, r.rule_id) as rn
-from (select *, row_number() over () as id from lineitem) l join {_RULES_SQL} on (r.l_returnflag in (l.l_returnflag, '*')) and (r.l_linestatus in (l.l_linestatus, '*'))) f where rn = 1 group by 1, 2, 3""")
+@query(f"""select f.l_returnflag, f.l_linestatus, f.rule_id, count(*) as n, round(sum(pct), 2)::double as pct from (select l.*, r.rule_id, r.pct, row_number() over (partition by l.id order by r.priority, r.rule_id) as rn
+from (select *, row_number() over () as id from lineitem) l join {_RULES_SQL} on (r.l_returnflag in (l.l_returnflag, '*')) and (r.l_linestatus in (l.l_linestatus, '*')) and cast(l.l_shipdate as date) between r.effective_from and r.effective_to) f where rn = 1 group by 1, 2, 3""")
 def wildcard_rule(spark, folder):
-    """Lines with the best rule of a table with wildcards: the rules are ranked for each combination of codes."""
-    rules = spark.createDataFrame(_RULES, "rule_id string, l_returnflag string, l_linestatus string, priority int, pct double")
-    codes = table(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n")).withColumn("combo", F.concat_ws("|", "l_returnflag", "l_linestatus"))
-    best = wildcard_match(codes, rules, ["l_returnflag", "l_linestatus"], "combo", [F.asc("rule_priority")], how="inner")
-    return best.select("l_returnflag", "l_linestatus", F.col("rule_id"), "n")
+    """Each line with the best rule of a table with wildcards and periods, joined to all lines by codes and day."""
+    rules = spark.createDataFrame(_RULES, "rule_id string, l_returnflag string, l_linestatus string, priority int, pct double, effective_from string, effective_to string")
+    rules = rules.withColumns({c: F.col(c).cast("date") for c in ("effective_from", "effective_to")})
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("ship"))
+    best = wildcard_match(lines, rules, ["l_returnflag", "l_linestatus"], "l_orderkey", [F.asc("rule_priority")], day="ship", how="inner")
+    return best.groupBy("l_returnflag", "l_linestatus", "rule_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("rule_pct"), 2).alias("pct"))
 
 
 _BAND = """
@@ -244,8 +261,8 @@ def reference_tail(spark, folder):
 
 @query(r"""with t as (select p_partkey, case p_partkey % 4 when 0 then 'Dr. ' || p_name when 1 then ' mr  MRS ' || p_name || ' 9' when 2 then p_name || '-x' end as raw, '+91 (' || p_partkey || ') 98765-43210' as phone from part),
 n as (select *, trim(regexp_replace(regexp_replace(upper(trim(raw)), '[^A-Z ]', ' ', 'g'), ' +', ' ', 'g')) as a from t),
-m as (select *, regexp_replace(a, '^(DR|MR|MRS|MS|MISS|MASTER|BABY|SHRI|SMT|KUM|PROF|B O) +', '') as b from n)
-select p_partkey, trim(regexp_replace(b, '^(DR|MR|MRS|MS|MISS|MASTER|BABY|SHRI|SMT|KUM|PROF|B O) +', '')) as name, right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) as phone from m""")
+m as (select *, regexp_replace(a, '@TITLE@', '') as b from n)
+select p_partkey, trim(regexp_replace(b, '@TITLE@', '')) as name, right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) as phone from m""".replace("@TITLE@", title_pattern()))
 def name_normalise(spark, folder):
     """Names and phones in one form."""
     p = table(spark, folder, "part")
@@ -254,7 +271,7 @@ def name_normalise(spark, folder):
     return p.select("p_partkey", normalize_name(raw).alias("name"), normalize_phone(F.concat(F.lit("+91 ("), F.col("p_partkey").cast("string"), F.lit(") 98765-43210"))).alias("phone"))
 
 
-@query("select c_custkey, sha256(concat_ws('|', c_name, coalesce(nullif(c_mktsegment, 'BUILDING'), '~null~'), c_nationkey::varchar)) as k from customer")
+@query("with c as (select c_custkey, c_name as a, nullif(c_mktsegment, 'BUILDING') as b, c_nationkey::varchar as c from customer) select c_custkey, sha256(coalesce(length(a) || ':' || a, '-') || coalesce(length(b) || ':' || b, '-') || coalesce(length(c) || ':' || c, '-')) as k from c")
 def sha_keys(spark, folder):
     """Keys in which a null counts."""
     c = table(spark, folder, "customer")

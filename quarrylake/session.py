@@ -50,4 +50,16 @@ def written(df: DataFrame, name: str = "part") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def drop_written(*tables: DataFrame | None) -> None:
+    """Deletes the files of tables that `written` made and nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "written_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)

@@ -1,9 +1,10 @@
+import random
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from quarrylake.functions.text import row_hash, same_text
-from quarrylake.operators.history import as_of, snapshot_changes, standing, type2_merge
+from quarrylake.operators.history import as_of, close_open, snapshot_changes, standing, type2_loads, type2_merge
 from quarrylake.operators.lookup import hot_keys, lookup
 
 D = date.fromisoformat
@@ -19,8 +20,8 @@ def merge(df, current=None):
     return got
 
 
-def told(df):
-    return sorted((r["k"], str(r["valid_from"]), str(r["valid_to"]), r["version"], r["is_current"]) for r in df.collect())
+def told(history):
+    return sorted((r["k"], str(r["valid_from"]), str(r["valid_to"]), r["version"], r["is_current"]) for r in history.versions.collect())
 
 
 def test_same_rows_make_one_version_and_style_is_no_change(spark):
@@ -51,6 +52,35 @@ def test_merge_in_two_loads_equals_one(spark):
     assert told(merge(one.limit(0))) == []
 
 
+def test_late_loads_in_any_order_equal_all_at_once(spark):
+    rng = random.Random(5)
+    for _ in range(4):
+        every = [(rng.choice("ab"), f"2024-{rng.randint(1, 6):02d}-{rng.choice((1, 15)):02d}", rng.choice([None, None, "2024-05-20"]), rng.choice("xy"), t) for t in range(1, 13)]
+        want = told(merge(rows(spark, every)))
+        rng.shuffle(every)
+        one = merge(rows(spark, every[:4])).stored()
+        two = merge(rows(spark, every[4:8]), one).stored()
+        assert told(merge(rows(spark, every[8:]), two)) == want
+        three = type2_loads(rows(spark, every), F.pmod(F.dayofmonth("loaded"), F.lit(4)), "k", "start", "until", {"dept": same_text(F.col("dept"))}, ["loaded"])
+        assert told(three) == want
+
+
+def test_merge_keeps_untouched_keys_and_carries_attributes(spark):
+    one = merge(rows(spark, [("a", "2024-01-01", None, " X ", 1), ("b", "2024-01-01", None, "y", 1)]))
+    two = merge(rows(spark, [("b", "2024-01-01", None, "Y", 2)]), one)
+    assert told(two) == told(one) and len({r["sk"] for r in two.versions.collect()}) == 2
+    assert sorted(r["dept"] for r in two.versions.collect()) == ["x", "y"]
+    closed = close_open(two.versions, F.lit("2024-06-30").cast("date")).collect()
+    assert {str(r["valid_to"]) for r in closed} == {"2024-06-30"} and not any(r["is_current"] for r in closed)
+
+
+def test_as_of_never_sees_what_became_known_later(spark):
+    changes = spark.createDataFrame([("a", D("2024-01-01"), None, "x", D("2024-01-01")), ("a", D("2024-02-01"), None, "y", D("2024-03-10")), ("a", D("2024-01-15"), None, "w", D("2024-04-01"))], "k string, start date, until date, dept string, told date")
+    events = spark.createDataFrame([(i, "a", D(d)) for i, d in enumerate(("2024-02-15", "2024-03-10", "2024-04-02"))], "id int, k string, day date")
+    got = as_of(events, changes, "k", "day", "start", "until", ["dept"], known="told")
+    assert sorted((r["id"], r["dept"]) for r in got.collect()) == [(0, "x"), (1, "y"), (2, "y")]
+
+
 def test_standing_takes_the_latest_and_breaks_ties_alike(spark):
     df = rows(spark, [("a", "2024-01-01", None, "x", 1), ("a", "2024-01-01", None, "y", 1), ("a", "2024-01-01", None, "w", 0 + 1)])
     for n in (1, 3, 7):
@@ -98,5 +128,5 @@ def test_lookup_splits_hot_keys_and_keeps_all_rows(spark):
 
 
 def test_row_hash_tells_null_from_text(spark):
-    df = spark.createDataFrame([("a", None), ("a", ""), ("a|", None), (None, "a")], "x string, y string")
-    assert df.select(row_hash([F.col("x"), F.col("y")])).distinct().count() == 4
+    df = spark.createDataFrame([("a", None), ("a", ""), ("a|", None), (None, "a"), ("a|b", "c"), ("a", "b|c"), ("~null~", "a"), ("", "-"), ("-", ""), ("1:a", "b"), ("1", ":ab")], "x string, y string")
+    assert df.select(row_hash([F.col("x"), F.col("y")])).distinct().count() == 11
