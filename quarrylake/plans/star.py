@@ -586,93 +586,94 @@ def dq_scorecard(spark, folder):
     return evaluate(spark, lambda n: table(spark, folder, n), _CHECKS).select("check_name", "value", "passed")
 
 
-_HALVES = "a as (select o_orderkey, o_orderstatus, o_totalprice from orders where o_orderkey % 3 <> 0), b as (select o_orderkey, 'X' as o_orderstatus, o_totalprice + (o_orderkey % 2) as o_totalprice from orders where o_orderkey % 2 = 0)"
-
-
-def _halves(spark, folder):
-    o = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    k = F.col("o_orderkey")
-    return o.filter(k % 3 != 0), o.filter(k % 2 == 0).select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + k % 2).alias("o_totalprice"))
-
-
 def _store(spark) -> TableStore:
     import uuid
 
     return TableStore(spark, os.path.join(shared_folder(spark), f"store-{uuid.uuid4().hex}"))
 
 
+_WHOLE = "a as (select o_orderkey, o_orderstatus, o_totalprice from orders), b as (select o_orderkey, 'X' as o_orderstatus, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 2 = 0 union all select -o_orderkey, 'N', o_totalprice from orders where o_orderkey % 2 <> 0)"
+
+
 def _merged(spark, folder, how):
-    a, b = _halves(spark, folder)
+    """All orders merged with a source that has a changed or a new key from each of them."""
+    a = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    k, even = F.col("o_orderkey"), F.col("o_orderkey") % 2 == 0
+    b = a.select(F.when(even, k).otherwise(-k).alias("o_orderkey"), F.when(even, "X").otherwise("N").alias("o_orderstatus"), (F.col("o_totalprice") + even.cast("int")).alias("o_totalprice"))
     store = _store(spark)
     store.overwrite("orders", a)
     how(store, b)
     return store.read("orders")
 
 
-@query(f"with {_HALVES} select * from b union all select * from a where o_orderkey not in (select o_orderkey from b)")
+@query(f"with {_WHOLE} select * from b union all select * from a where o_orderkey not in (select o_orderkey from b)")
 def merge_upsert(spark, folder):
-    """Update and insert by key."""
+    """Update and insert by key, from all orders."""
     return _merged(spark, folder, lambda s, b: s.upsert("orders", b, ["o_orderkey"]))
 
 
-@query(f"with {_HALVES} select * from a union all select * from b where o_orderkey not in (select o_orderkey from a)")
+@query(f"with {_WHOLE} select * from a union all select * from b where o_orderkey not in (select o_orderkey from a)")
 def merge_insert_only(spark, folder):
-    """Insert of new keys, twice with the same result."""
+    """Insert of new keys, twice with the same result, from all orders."""
     return _merged(spark, folder, lambda s, b: [s.insert_new("orders", b, ["o_orderkey"]) for _ in range(2)])
 
 
-@query(f"with {_HALVES} select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when a.o_orderkey is null or (b.o_orderkey is not null and a.o_orderstatus = 'F') then b.o_orderstatus else a.o_orderstatus end as o_orderstatus, coalesce(a.o_totalprice, b.o_totalprice) as o_totalprice from a full join b on a.o_orderkey = b.o_orderkey")
+@query(f"with {_WHOLE} select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when a.o_orderkey is null or (b.o_orderkey is not null and a.o_orderstatus = 'F') then b.o_orderstatus else a.o_orderstatus end as o_orderstatus, coalesce(a.o_totalprice, b.o_totalprice) as o_totalprice from a full join b on a.o_orderkey = b.o_orderkey")
 def merge_conditional(spark, folder):
-    """Update of one column where a condition holds, and insert."""
+    """Update of one column where a condition holds, and insert, from all orders."""
     return _merged(spark, folder, lambda s, b: s.merge("orders", b, ["o_orderkey"], ["o_orderstatus"], lambda t, _: t("t.o_orderstatus") == "F"))
 
 
-@query(f"with {_HALVES} select * from a where o_orderstatus <> 'F' union all select * from a where o_orderstatus = 'F'")
-def replace_where(spark, folder):
-    """A part of the table written again, with the same result."""
-    a, _ = _halves(spark, folder)
-    store = _store(spark)
-    store.overwrite("orders", a)
-    store.replace_where("orders", a.filter("o_orderstatus = 'F'"), F.col("o_orderstatus") == "F")
-    return store.read("orders")
-
+_CHANGED = """select o_orderkey, case when o_orderstatus = 'F' then 'G' else o_orderstatus end as o_orderstatus, o_totalprice + case when o_orderstatus = 'F' then 1 else 0 end as o_totalprice from orders"""
 
-_WHOLE = "a as (select o_orderkey, o_orderstatus, o_totalprice from orders), b as (select o_orderkey, 'X' as o_orderstatus, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 2 = 0 union all select -o_orderkey, 'N', o_totalprice from orders where o_orderkey % 2 <> 0)"
 
-
-def _merged_whole(spark, folder, how):
-    """All orders merged with a source that has a changed or a new key from each of them."""
+def _by_status(spark, folder):
+    """A store with all orders in a partition for each status, and the rows that take the place of one of them."""
     a = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    k, even = F.col("o_orderkey"), F.col("o_orderkey") % 2 == 0
-    b = a.select(F.when(even, k).otherwise(-k).alias("o_orderkey"), F.when(even, "X").otherwise("N").alias("o_orderstatus"), (F.col("o_totalprice") + even.cast("int")).alias("o_totalprice"))
     store = _store(spark)
-    store.overwrite("orders", a)
-    how(store, b)
-    return store.read("orders")
+    store.overwrite("orders", a.repartition(4, "o_orderkey"), partition_by=["o_orderstatus"])
+    again = a.filter("o_orderstatus = 'F'").select("o_orderkey", F.lit("G").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return store, again
 
 
-@query(f"with {_WHOLE} select * from b union all select * from a where o_orderkey not in (select o_orderkey from b)")
-def merge_upsert_whole(spark, folder):
-    """Update and insert by key, from all orders."""
-    return _merged_whole(spark, folder, lambda s, b: s.upsert("orders", b, ["o_orderkey"]))
+@query(f"{_CHANGED}")
+def replace_where(spark, folder):
+    """All orders of one status replaced by changed ones: the files of the others are not written."""
+    store, again = _by_status(spark, folder)
+    store.replace_where("orders", again, F.col("o_orderstatus") == "F")
+    return store.read("orders")
 
 
-@query(f"with {_WHOLE} select * from a union all select * from b where o_orderkey not in (select o_orderkey from a)")
-def merge_insert_only_whole(spark, folder):
-    """Insert of new keys, twice with the same result, from all orders."""
-    return _merged_whole(spark, folder, lambda s, b: [s.insert_new("orders", b, ["o_orderkey"]) for _ in range(2)])
+@query("select 1::bigint as versions_kept_by_others, true as others_untouched, true as time_travel, true as vacuumed")
+def replaced_files(spark, folder):
+    """That a replacement keeps the files of other partitions, that the version before can be read, and that a vacuum deletes it."""
+    store, again = _by_status(spark, folder)
+    files = lambda: {r["f"] for r in store.read("orders").filter("o_orderstatus not in ('F', 'G')").select(F.col("_metadata.file_path").alias("f")).distinct().collect()}  # noqa: E731  a few files
+    before, n = files(), store.read("orders").filter("o_orderstatus = 'F'").count()
+    store.replace_where("orders", again, F.col("o_orderstatus") == "F")
+    old = store.read("orders", 1).filter("o_orderstatus = 'F'").count()
+    same, gone = files() == before, store.vacuum("orders", 1)
+    return spark.createDataFrame([(len(gone), same, old == n, store.versions("orders") == [2])], "versions_kept_by_others bigint, others_untouched boolean, time_travel boolean, vacuumed boolean")
 
 
-@query(f"with {_WHOLE} select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when a.o_orderkey is null or (b.o_orderkey is not null and a.o_orderstatus = 'F') then b.o_orderstatus else a.o_orderstatus end as o_orderstatus, coalesce(a.o_totalprice, b.o_totalprice) as o_totalprice from a full join b on a.o_orderkey = b.o_orderkey")
-def merge_conditional_whole(spark, folder):
-    """Update of one column where a condition holds, and insert, from all orders."""
-    return _merged_whole(spark, folder, lambda s, b: s.merge("orders", b, ["o_orderkey"], ["o_orderstatus"], lambda t, _: t("t.o_orderstatus") == "F"))
+@query("select year(o_orderdate) as y, count(*) as n, sum(o_orderkey)::bigint as keys from orders group by 1")
+def appended(spark, folder):
+    """Orders appended in four loads, each as files of its own, then read whole."""
+    o = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").cast("bigint").alias("y"))
+    store = _store(spark)
+    for part in ("y < 1997", "y = 1997", "y = 1998", "y > 1998 or y is null"):
+        store.append("orders", o.filter(part))
+    return store.read("orders").groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
-@query(f"with {_WHOLE} select * from a")
-def replace_where_whole(spark, folder):
-    """A part of all orders written again, with the same result."""
-    return _merged_whole(spark, folder, lambda s, _: s.replace_where("orders", s.read("orders").filter("o_orderstatus = 'F'"), F.col("o_orderstatus") == "F"))
+@query("select o_orderstatus, count(*) as n from orders where o_orderstatus <> 'P' group by 1")
+def time_travel(spark, folder):
+    """The version of a table before rows were added to it."""
+    o = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    store = _store(spark)
+    first = store.overwrite("orders", o.filter("o_orderstatus <> 'P'"))
+    store.append("orders", o.filter("o_orderstatus = 'P'"))
+    return store.read("orders", first).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select count(*) as n, true as same_again, true as order_free from orders")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SIMPLE = {"string": T.StringType, "int": T.IntegerType, "integer": T.IntegerType, "long": T.LongType, "bigint": T.LongType, "double": T.DoubleType, "boolean": T.BooleanType, "date": T.DateType, "timestamp": T.TimestampType}
@@ -48,16 +49,15 @@ class HeaderError(ValueError):
 def check_headers(spark: SparkSession, contract: Contract, paths: Sequence[str]) -> None:
     """HeaderError that names missing and unexpected columns, for the first of all CSV files whose ordered header differs.
 
-    Only the first line of each file is read, by tasks side by side.
+    The first split of each file is read, by tasks side by side; only the first file that differs reaches the driver.
     """
     if contract.format != "csv" or not paths:
         return
     want = [c for c, _ in contract.columns]
-    lines = spark.read.text(list(paths), wholetext=False).selectExpr("_metadata.file_path AS path", "_metadata.file_block_start AS at", "value")
-    # each file's first row is the first that its first split yields
-    first = lines.filter("at = 0").groupBy("path").agg({"value": "first"}).toDF("path", "header")
-    for r in first.orderBy("path").collect():
-        got = [x.strip().strip('"').lstrip("﻿") for x in r["header"].split(",")]
-        if got != want:
-            missing, extra = [c for c in want if c not in got], [c for c in got if c not in want]
-            raise HeaderError(f"{contract.name}: {r['path']}: missing {missing}, unexpected {extra}" + ("" if missing or extra else ", order differs"))
+    lines = spark.read.text(list(paths), wholetext=False).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("line"))
+    # lines of a split keep their order, so the least number of a file's first split is its header
+    first = lines.filter("at = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    names = F.transform(F.split("header", ","), lambda x: F.regexp_replace(F.trim(x), '^\ufeff?"?|"$', ""))
+    for r in first.withColumn("names", names).filter(F.col("names") != F.array(*map(F.lit, want))).orderBy("path").limit(1).collect():
+        missing, extra = [c for c in want if c not in r["names"]], [c for c in r["names"] if c not in want]
+        raise HeaderError(f"{contract.name}: {r['path']}: missing {missing}, unexpected {extra}" + ("" if missing or extra else ", order differs"))

@@ -34,10 +34,35 @@ def list_files(spark: SparkSession, folder: str, logical_date: date | str | None
 
 
 def _unread(spark: SparkSession, files: Sequence[str], archived: DataFrame) -> list[str]:
-    """Those of the files that are no source_file of the archived rows, in the same order."""
-    one = lambda uri: re.sub("^file:/+", "file:/", uri)
-    read = {one(r["source_file"]) for r in archived.select("source_file").distinct().collect()}
-    return [f for f in files if one(spark._jvm.org.apache.hadoop.fs.Path(f).toUri().toString()) not in read]  # source_file is encoded, a listed path is not
+    """Those of the files that are no source_file of the archived rows, in the same order: an anti join, so that only the new
+    ones reach the driver, which listed them all."""
+    one = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    uri = lambda f: spark._jvm.org.apache.hadoop.fs.Path(f).toUri().toString()  # noqa: E731  source_file is encoded, a listed path is not
+    if not files:
+        return []
+    listed = spark.createDataFrame([(i, uri(f)) for i, f in enumerate(files)], "i int, f string").withColumn("f", one("f"))
+    return [files[r["i"]] for r in listed.join(archived.select(one("source_file").alias("f")).distinct(), "f", "left_anti").orderBy("i").collect()]
+
+
+def summary(store: TableStore, names: Sequence[str]) -> DataFrame:
+    """(source, n_rows, n_files, n_batches) of each source's archive, zeros for those without one."""
+    out = store.spark.createDataFrame([(n, 0, 0, 0) for n in names], "source string, n_rows bigint, n_files bigint, n_batches bigint").limit(0)
+    for n in names:
+        if store.exists(f"raw/{n}"):
+            one = store.read(f"raw/{n}").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("source_file").alias("n_files"), F.count_distinct("batch_id").alias("n_batches"))
+        else:
+            one = store.spark.createDataFrame([(0, 0, 0)], "n_rows bigint, n_files bigint, n_batches bigint")
+        out = out.unionByName(one.withColumn("source", F.lit(n)))
+    return out
+
+
+def read_seed(spark: SparkSession, path: str, schema: str, unique: Sequence[str] = ()) -> DataFrame:
+    """A seed CSV with a header, whose lines that begin with # are comments; of rows with equal `unique` columns the least stays."""
+    df = spark.read.schema(schema).option("header", True).option("comment", "#").option("mode", "FAILFAST").csv(path)
+    if not unique:
+        return df
+    rest = [c for c in df.columns if c not in unique]
+    return df.groupBy(*unique).agg(F.min(F.struct(*rest)).alias("r")).select(*unique, "r.*") if rest else df.distinct()
 
 
 def read_raw(spark: SparkSession, contract: Contract, paths: Sequence[str]) -> DataFrame:

@@ -19,8 +19,12 @@ def arrive(spark: SparkSession, contract: Contract, folder: str, out: str, check
     rows = reader.option("header", True).csv(folder) if contract.format == "csv" else reader.json(folder)
     rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingestion_ts"))
     query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    rows_of: dict[int, int] = {}
+    done = False
+    while not done:  # only the latest progress is kept by the query, so it is noted as it comes
+        done = query.awaitTermination(1)
+        rows_of |= {int(p["batchId"]): int(p["numInputRows"]) for p in query.recentProgress}
+    return sum(rows_of.values())
 
 
 def windowed_counts(events: DataFrame, ts: str, kind: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:

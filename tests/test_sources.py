@@ -9,7 +9,7 @@ from quarrylake.sources.contracts import Contract, HeaderError, check_headers, p
 from quarrylake.sources.ingest import CORRUPT, ingest, list_files, read_raw
 from quarrylake.sources.registry import BATCHES, Registry, batch_id
 from quarrylake.sources.sinks import markdown, plain, write_panels
-from quarrylake.sources.store import TableStore, checksum
+from quarrylake.sources.store import ConcurrentWrite, TableStore, checksum, self_check
 from quarrylake.streaming.arrivals import arrive, windowed_counts
 
 C = Contract("people", "csv", (("id", "int"), ("name", "string"), ("amount", "decimal(18,2)")), ("id",))
@@ -106,11 +106,46 @@ def test_store(spark, tmp_path):
     assert sorted(r["v"] for r in s.read("t", 1).collect()) == ["a", "b", "n"]
     s.overwrite("t", s.read("t").select("k"))  # reads itself, other schema
     assert s.read("t").columns == ["k"] and s.versions("t") == [1, 2, 3, 4, 5]
-    assert s.vacuum("t", keep=2) == [1, 2, 3]
+    assert s.vacuum("t", keep=2) == [1, 2, 3] and s.row_count("t") == 5 and s.row_count("none") == 0
     assert s.register_views(["t", "none"]) == ["none"] and spark.table("t").count() == 5
     s.append("u", df)
     s.append("u", df.limit(0))
-    assert s.read("u").count() == 3
+    s.append("u", df.select("v", F.lit("7").alias("k"), F.lit(1.5).alias("more")))  # lacks a column, adds one, other type
+    assert s.read("u").count() == 6 and s.read("u").dtypes == [("k", "int"), ("v", "string"), ("w", "int"), ("more", "double")]
+    assert s.register_table("u", "quarry") and spark.table("quarry.u").count() == 6
+
+
+def test_store_writes_only_what_a_change_touches(spark, tmp_path):
+    s = TableStore(spark, str(tmp_path))
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 > 0, F.concat(F.lit("p q/"), (F.col("id") % 10).cast("string"))).alias("p"), F.lit(0).alias("v"))
+    s.overwrite("t", df.repartition(1), partition_by=["p"])
+    files = lambda v=None: {r["f"] for r in s.read("t", v).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    first = files()
+    assert len(first) == 10 and s.file_count("t") == 10
+    s.append("t", df.filter("id < 5").withColumn("v", F.lit(1)))
+    assert first < files() and s.read("t").filter("p is null").count() == 11
+    s.replace_where("t", df.filter("p = 'p q/3'").withColumn("v", F.lit(2)), F.col("p") == "p q/3")
+    assert len(first - files()) == 1 and s.read("t").filter("p = 'p q/3'").agg(F.count("*"), F.min("v")).first()[:] == (10, 2)
+    s.merge("t", spark.createDataFrame([(20, None, 9), (200, "new", 9)], df.schema), ["id"], ["v"])
+    assert len(first - files()) == 2 and s.row_count("t") == 105 and {r["id"] for r in s.read("t").filter("v = 9").collect()} == {20, 200}
+    s.replace_where("t", df.limit(0), F.col("id") == 200)
+    s.compact("t")
+    assert s.row_count("t") == 104 and s.file_count("t") < s.file_count("t", 5)
+    assert s.read("t", 1).count() == 100 and s.vacuum("t", 1) == [1, 2, 3, 4, 5] and s.row_count("t") == 104
+    gone = s._write("t", df, ["p"])  # a write that failed before its commit
+    s.vacuum("t", 1)
+    assert s._files("t", gone) == [] and s.row_count("t") == 104
+    with pytest.raises(ConcurrentWrite):
+        m = s._manifest("t")
+        s.append("t", df)
+        s._commit("t", m, {}, df.schema, [])
+    s.overwrite("e", df.limit(0), partition_by=["p"])
+    s.upsert("e", df, ["id"])
+    assert s.row_count("e") == 100
+
+
+def test_self_check(spark, tmp_path):
+    assert all(self_check(spark, str(tmp_path)).values()) and not list(tmp_path.glob("*"))
 
 
 def test_sinks(spark, tmp_path):
