@@ -26,8 +26,9 @@ def parse_by_source(text: Column, source: Column, formats: Mapping[str, str]) ->
     return F.coalesce(out, F.try_to_date(text, "yyyy-MM-dd"))
 
 
-def calendar(spark: SparkSession, start: str, end: str, first_month: int = 4, holidays: DataFrame | None = None) -> DataFrame:
-    """One row a day from start to end: calendar and fiscal parts, weekend, holiday (several names of a day are joined)."""
+def calendar(spark: SparkSession, start: str, end: str, first_month: int = 4, holidays: DataFrame | None = None, monsoon: tuple[int, ...] = (6, 7, 8, 9)) -> DataFrame:
+    """One row a day from start to end: calendar and fiscal parts, weekend, monsoon, holiday (several names of a day are joined)
+    and working day (neither weekend nor holiday; holiday_name is null without a table of them)."""
     days = spark.sql(f"SELECT explode(sequence(date'{start}', date'{end}', interval 1 day)) AS day")
     d = F.col("day")
     fy = fiscal_year(d, first_month)
@@ -36,8 +37,11 @@ def calendar(spark: SparkSession, start: str, end: str, first_month: int = 4, ho
         date_key(d).alias("date_sk"), d, F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"), F.dayofmonth(d).alias("day_of_month"), F.dayofweek(d).alias("day_of_week"),
         F.weekofyear(d).alias("week"), F.dayofyear(d).alias("day_of_year"), F.date_format(d, "EEEE").alias("day_name"), F.date_format(d, "MMMM").alias("month_name"), F.trunc(d, "month").alias("month_start"), F.last_day(d).alias("month_end"),
         F.concat(F.lit("FY"), fy, F.lit("-"), F.lpad(F.pmod(fy + 1, F.lit(100)).cast("string"), 2, "0")).alias("fiscal_year"), F.floor((month + 2) / 3).cast("int").alias("fiscal_quarter"), month.alias("fiscal_month"), F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+        F.month(d).isin(*monsoon).alias("is_monsoon"),
     )
-    if holidays is not None:
+    if holidays is None:
+        out = out.withColumn("holiday_name", F.lit(None).cast("string"))
+    else:
         names = holidays.groupBy(F.col("holiday_date").cast("date").alias("day")).agg(F.array_join(F.sort_array(F.collect_set("holiday_name")), " / ").alias("holiday_name"))
-        out = out.join(names, "day", "left").withColumn("is_working_day", ~F.col("is_weekend") & F.col("holiday_name").isNull())
-    return out
+        out = out.join(names, "day", "left")
+    return out.withColumn("is_working_day", ~F.col("is_weekend") & F.col("holiday_name").isNull())

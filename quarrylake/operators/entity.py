@@ -21,28 +21,17 @@ def block_sizes(keys: DataFrame) -> DataFrame:
     return keys.groupBy("strategy", "block_key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def candidate_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column], most: int) -> DataFrame:
-    """(a, b, strategies), a < b: pairs that share a block of at most `most` records, each once, with all its strategies.
-
-    Pairs of larger blocks are left out: oversized() lists those blocks, block_pairs() makes the pairs of all blocks.
-    Pairs of a kept block are at most most * (most - 1) / 2.
-    """
-    keys = block_keys(df, record, strategies).distinct()
-    small = block_sizes(keys).filter((F.col("n") > 1) & (F.col("n") <= most)).select("strategy", "block_key")
-    keys = keys.join(small, ["strategy", "block_key"], "left_semi")
-    x, y = keys.withColumnRenamed(record, "a"), keys.withColumnRenamed(record, "b")
-    return x.join(y, ["strategy", "block_key"]).filter("a < b").groupBy("a", "b").agg(F.sort_array(F.collect_set("strategy")).alias("strategies"))
-
-
-def block_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column], part: int = 64) -> DataFrame:
+def block_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column], part: int = 64, most: int | None = None) -> DataFrame:
     """(a, b, strategies), a < b: all pairs that share a block of any size, each once, with all its strategies.
 
     A block of n records is split by hash into n / part parts, and each two parts (and each part with itself) meet in a cell
     of their own, so that a hot block's pairs are made in many tasks; `part` changes no result. The pairs are as many as the
-    blocks define: they grow with the square of a block. Null records are in no pair.
+    blocks define: they grow with the square of a block, so records alike in all that is compared should stand in it once
+    (see pipeline.people.classes). `most`, by default off, leaves the pairs of blocks of more records out: the caller then
+    reports these by oversized(). Null records are in no pair.
     """
     keys = block_keys(df.filter(F.col(record).isNotNull()), record, strategies).distinct()
-    parts = block_sizes(keys).filter("n > 1").select("strategy", "block_key", F.ceil(F.col("n") / part).cast("int").alias("__parts"))
+    parts = block_sizes(keys).filter(F.col("n").between(2, most) if most else F.col("n") > 1).select("strategy", "block_key", F.ceil(F.col("n") / part).cast("int").alias("__parts"))
     keys = keys.join(parts, ["strategy", "block_key"]).withColumn("__part", F.pmod(F.xxhash64(record), F.col("__parts")).cast("int"))
     cell = ["strategy", "block_key", "__i", "__j"]
     x = keys.select("strategy", "block_key", F.col(record).alias("__x"), F.col("__part").alias("__i"), F.explode(F.sequence("__part", F.col("__parts") - 1)).alias("__j"))
@@ -52,7 +41,8 @@ def block_pairs(df: DataFrame, record: str, strategies: Mapping[str, Column], pa
 
 
 def oversized(df: DataFrame, record: str, strategies: Mapping[str, Column], most: int) -> DataFrame:
-    """Blocks of every strategy that candidate_pairs leaves out, with their sizes."""
+    """Blocks of every strategy with more than `most` records, with their sizes: keys that tell little. Nothing is left out
+    for it: block_pairs makes the pairs of blocks of any size."""
     return block_sizes(block_keys(df, record, strategies).distinct()).filter(F.col("n") > most)
 
 
@@ -77,15 +67,18 @@ def three_way(score: Column, accept: float, review: float) -> Column:
 
 
 def assign_stable_ids(clusters: DataFrame, registry: DataFrame | None, record: str = "node", label: str = "label", parts: int = 64) -> DataFrame:
-    """(record, label, entity_id): ids that stay when clusters grow.
+    """(record, label, entity_id): ids that stay when clusters grow or merge.
 
-    registry: (record, entity_id) of earlier runs, or None. A cluster takes the least id of its members in the registry; new
-    clusters are numbered after the greatest one, by label: counted and numbered within hash parts side by side, with each
-    part's offset from the counts, so that no single task sees all of them.
+    registry: (record, entity_id) of earlier runs, or None. A cluster takes the least id of its members in the registry; if a
+    cluster was split, the part with the least label keeps the id and the others are new. New clusters are numbered after the
+    greatest id, by label: counted and numbered within hash parts side by side, with each part's offset from the counts, so
+    that no single task sees all of them. What id_aliases tells was given up should be kept.
     """
     spark = clusters.sparkSession
-    known = (registry if registry is not None else spark.createDataFrame([], f"`{record}` string, entity_id bigint")).select(F.col(record), F.col("entity_id").alias("__old"))
-    old = clusters.join(known, record).groupBy(label).agg(F.min("__old").alias("__old"))
+    kind = clusters.schema[record].dataType.simpleString()
+    known = (registry if registry is not None else spark.createDataFrame([], f"`{record}` {kind}, entity_id bigint")).select(F.col(record), F.col("entity_id").alias("__old"))
+    held = clusters.join(known, record).groupBy(label).agg(F.min("__old").alias("__old"))
+    old = held.groupBy("__old").agg(F.min(label).alias(label))
     new = clusters.select(label).distinct().join(old, label, "left_anti").withColumn("__part", F.pmod(F.xxhash64(label), F.lit(parts)))
     top = known.agg(F.coalesce(F.max("__old"), F.lit(0)).alias("top")).first()["top"]
     counts = {r["__part"]: r["count"] for r in new.groupBy("__part").count().collect()}  # at most `parts` rows
@@ -95,7 +88,14 @@ def assign_stable_ids(clusters: DataFrame, registry: DataFrame | None, record: s
         total += counts.get(p, 0)
     offset = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__part").cast("int"))
     new = new.select(label, (offset + F.row_number().over(Window.partitionBy("__part").orderBy(label))).cast("bigint").alias("__new"))
-    return clusters.join(old, label, "left").join(new, label, "left").select(record, label, F.coalesce("__old", "__new").alias("entity_id"))
+    ids = old.select(label, F.col("__old").alias("entity_id")).unionByName(new.select(label, F.col("__new").alias("entity_id")))
+    return lookup(clusters.select(record, label), ids, [label], "inner").select(record, label, "entity_id")
+
+
+def id_aliases(ids: DataFrame, registry: DataFrame, record: str = "node") -> DataFrame:
+    """(old_id, entity_id): ids of the registry that records no longer have, with the ids that these have now."""
+    old = registry.select(record, F.col("entity_id").alias("old_id"))
+    return ids.select(record, "entity_id").join(old, record).filter("old_id <> entity_id").select("old_id", "entity_id").distinct()
 
 
 def survivors(df: DataFrame, entity: str, order: Sequence[Column], sources: str) -> DataFrame:
@@ -109,6 +109,6 @@ def pair_quality(df: DataFrame, record: str, predicted: str, actual: str) -> Dat
     rows = df.select(record, predicted, actual).distinct()
     pairs = lambda *by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0)).alias("x"))
     p, a, b = (pairs(*by).select(F.col("x").alias(n)) for n, by in (("n_predicted", [predicted]), ("n_actual", [actual]), ("n_both", [predicted, actual])))
-    one = p.join(a).join(b)  # one row each
+    one = p.unionByName(a, True).unionByName(b, True).agg(*[F.max(n).alias(n) for n in ("n_predicted", "n_actual", "n_both")])  # one row each
     pr, rc = F.col("n_both") / F.nullif(F.col("n_predicted"), F.lit(0.0)), F.col("n_both") / F.nullif(F.col("n_actual"), F.lit(0.0))
     return one.withColumns({"precision": F.round(pr, 6), "recall": F.round(rc, 6), "f1": F.round(2 * pr * rc / F.nullif(pr + rc, F.lit(0.0)), 6)})

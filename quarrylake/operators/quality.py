@@ -13,9 +13,28 @@ from pyspark.sql import functions as F
 COMPARE = {"gte": lambda v, t: v >= t, "lte": lambda v, t: v <= t, "eq": lambda v, t: abs(v - t) < 1e-9, "gt": lambda v, t: v > t, "lt": lambda v, t: v < t}
 
 
+#: Measures of one's own by name: each takes a table and a check and gives a number.
+MEASURES: dict[str, Callable[[DataFrame, Check], float]] = {}
+
+
+def measure(name: str):
+    """Registers a function as the measure of checks of that kind."""
+    if name in KINDS or name in MEASURES:
+        raise ValueError(f"there is a kind of check {name} already")
+
+    def add(f: Callable[[DataFrame, Check], float]):
+        MEASURES[name] = f
+        return f
+
+    return add
+
+
+KINDS = ("row_count", "not_null", "unique", "range", "expression", "referential")
+
+
 @dataclass(frozen=True)
 class Check:
-    """kind: row_count, not_null, unique, range, expression or referential. A null threshold always passes."""
+    """kind: one of KINDS or of MEASURES. A null threshold always passes."""
 
     name: str
     table: str
@@ -67,11 +86,13 @@ def evaluate(spark: SparkSession, read: Callable[[str], DataFrame | None], check
         if df is None:
             values |= {c.name: None for c in own}
             continue
-        plain = [c for c in own if c.kind not in ("unique", "referential")]
+        plain = [c for c in own if c.kind not in ("unique", "referential", *MEASURES)]
         if plain:
             row = df.agg(*[_measure(c).alias(f"c{i}") for i, c in enumerate(plain)]).first()
             values |= {c.name: row[f"c{i}"] for i, c in enumerate(plain)}
         for c in own:
+            if c.kind in MEASURES:
+                values[c.name] = MEASURES[c.kind](df, c)
             if c.kind == "unique":
                 row = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n")).first()
                 values[c.name] = row["d"] / row["n"] if row["n"] else 1.0

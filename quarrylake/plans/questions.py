@@ -6,9 +6,11 @@ Questions are registered by name; `answer` runs one, `panels` groups them for th
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.sinks import markdown
 from .domain import table
 
 TABLES = ("fact_patient_visit", "fact_claim_lifecycle", "dim_hospital", "dim_doctor", "claims", "bills", "patient_master")
@@ -41,6 +43,40 @@ SELECT doctor_id, count(DISTINCT visit_id) AS visits, count(DISTINCT mpi_id) AS
     "q_hospitals": "SELECT hospital_id, hospital_name, tier, bed_capacity FROM dim_hospital WHERE dw_updated_at = (SELECT max(d.dw_updated_at) FROM dim_hospital d) OR deleted_on IS NULL ORDER BY hospital_id",
     "q_counts": """
 SELECT 1 AS seq, 'visits' AS what, (SELECT count(*) FROM fact_patient_visit) AS n UNION ALL SELECT 2, 'claims', (SELECT count(DISTINCT claim_id) FROM claims) UNION ALL SELECT 3, 'bills', (SELECT count(DISTINCT bill_id) FROM bills) UNION ALL SELECT 4, 'doctors', (SELECT count(DISTINCT doctor_id) FROM dim_doctor)""",
+    "q_settlement": """
+WITH c AS (SELECT claim_id, max(insurer_id) AS insurer_id, max(CASE WHEN status_code = 'Settled' THEN 1 ELSE 0 END) AS settled, max(CASE WHEN status_code = 'Rejected' THEN 1 ELSE 0 END) AS rejected FROM fact_claim_lifecycle WHERE claim_id IS NOT NULL GROUP BY claim_id),
+r AS (SELECT insurer_id, count(*) AS claims, round(100.0 * sum(settled) / count(*), 2) AS settlement_pct, round(100.0 * sum(rejected) / count(*), 2) AS rejection_pct FROM c GROUP BY insurer_id),
+d AS (SELECT insurer_id, prev_status AS stage, cast(median(days_in_prev_status) AS double) AS median_days, count(*) AS moves FROM fact_claim_lifecycle WHERE prev_status IS NOT NULL AND days_in_prev_status IS NOT NULL GROUP BY insurer_id, prev_status)
+SELECT d.insurer_id, d.stage, d.median_days, d.moves, r.claims, r.settlement_pct, r.rejection_pct FROM d JOIN r ON d.insurer_id = r.insurer_id ORDER BY d.insurer_id, d.median_days DESC, d.stage""",
+    "q_headline": """
+SELECT count(DISTINCT visit_id) AS visits, count(DISTINCT mpi_id) AS people, count(DISTINCT CASE WHEN is_inpatient THEN visit_id END) AS inpatient_visits, count(DISTINCT doctor_id) AS doctors FROM fact_patient_visit""",
+    "q_misattributed": """
+WITH a AS (SELECT upper(trim(department_at_visit)) AS d, count(*) AS n FROM fact_patient_visit WHERE department_at_visit IS NOT NULL GROUP BY 1), b AS (SELECT upper(trim(department_current)) AS d, count(*) AS n FROM fact_patient_visit WHERE department_current IS NOT NULL GROUP BY 1)
+SELECT sum(abs(coalesce(b.n, 0) - coalesce(a.n, 0))) AS misattributed, sum(coalesce(a.n, 0)) AS attributed FROM a FULL OUTER JOIN b ON a.d = b.d""",
+    "q_claim_totals": """
+SELECT count(DISTINCT claim_id) AS claims, count(DISTINCT CASE WHEN is_terminal THEN claim_id END) AS ended, round(avg(CASE WHEN is_legal_transition THEN 1e0 ELSE 0e0 END), 6) AS legal_rate FROM fact_claim_lifecycle""",
+    "q_top_procedures": """
+WITH v AS (SELECT DISTINCT visit_id, procedure_code, length_of_stay FROM fact_patient_visit WHERE is_inpatient AND procedure_code IS NOT NULL)
+SELECT procedure_code, count(*) AS episodes, round(avg(length_of_stay), 4) AS mean_stay FROM v GROUP BY procedure_code HAVING count(*) >= 5 ORDER BY episodes DESC, procedure_code LIMIT 12""",
+    "q_occupancy_grid": """
+WITH v AS (SELECT DISTINCT visit_id, hospital_id, admission_type, length_of_stay FROM fact_patient_visit WHERE is_inpatient)
+SELECT h.hospital_name, v.admission_type, count(*) AS stays, sum(v.length_of_stay) AS bed_days, round(sum(v.length_of_stay) * 100.0 / nullif(max(h.bed_capacity) * 365, 0), 4) AS occupancy_pct FROM v JOIN dim_hospital h ON v.hospital_id = h.hospital_id GROUP BY h.hospital_name, v.admission_type ORDER BY h.hospital_name, v.admission_type""",
+    "q_occupancy_months": """
+WITH v AS (SELECT DISTINCT visit_id, admission_type, admission_date, length_of_stay FROM fact_patient_visit WHERE is_inpatient AND admission_date IS NOT NULL)
+SELECT year(admission_date) AS y, month(admission_date) AS m, admission_type, sum(length_of_stay) AS bed_days FROM v GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
+    "q_insurers": "SELECT insurer_id, count(DISTINCT claim_id) AS claims, count(DISTINCT hospital_id) AS hospitals FROM claims WHERE insurer_id IS NOT NULL GROUP BY insurer_id ORDER BY insurer_id",
+    "q_code_provenance": """
+SELECT CASE WHEN procedure_code IS NULL THEN 'NONE' ELSE 'SOURCE' END AS provenance, count(DISTINCT visit_id) AS visits FROM fact_patient_visit GROUP BY 1 ORDER BY visits DESC, provenance""",
+    "q_checks": """
+SELECT 'visit_key' AS check_name, round(count(DISTINCT visit_id) * 1e0 / nullif(count(*), 0), 6) AS value, 1e0 AS threshold, count(DISTINCT visit_id) = count(*) AS passed FROM fact_patient_visit
+UNION ALL SELECT 'visit_person', round(count(mpi_id) * 1e0 / nullif(count(*), 0), 6), 0.95e0, count(mpi_id) * 1e0 / nullif(count(*), 0) >= 0.95 FROM fact_patient_visit
+UNION ALL SELECT 'claim_status', round(count(final_status) * 1e0 / nullif(count(*), 0), 6), 0.99e0, count(final_status) * 1e0 / nullif(count(*), 0) >= 0.99 FROM claims
+UNION ALL SELECT 'move_is_legal', round(avg(CASE WHEN is_legal_transition THEN 1e0 ELSE 0e0 END), 6), 1e0, avg(CASE WHEN is_legal_transition THEN 1e0 ELSE 0e0 END) >= 1 FROM fact_claim_lifecycle
+ORDER BY passed, check_name""",
+    "q_checks_summary": """
+WITH q AS (SELECT 'visit_key' AS check_name, count(DISTINCT visit_id) = count(*) AS passed, true AS blocking FROM fact_patient_visit
+UNION ALL SELECT 'visit_person', count(mpi_id) >= 0.95 * count(*), false FROM fact_patient_visit UNION ALL SELECT 'claim_status', count(final_status) >= 0.99 * count(*), false FROM claims)
+SELECT count(*) AS total, sum(CASE WHEN passed THEN 1 ELSE 0 END) AS passed, sum(CASE WHEN NOT passed AND blocking THEN 1 ELSE 0 END) AS blocking_failures, sum(CASE WHEN NOT passed AND NOT blocking THEN 1 ELSE 0 END) AS warnings FROM q""",
     "q_payment_modes": "SELECT payment_mode, count(DISTINCT bill_id) AS bills FROM bills GROUP BY payment_mode ORDER BY payment_mode",
     "q_insurer_months": """
 SELECT insurer_id, year(submitted_date) AS y, month(submitted_date) AS m, count(DISTINCT claim_id) AS claims FROM claims WHERE submitted_date IS NOT NULL GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
@@ -49,7 +85,14 @@ WITH n AS (SELECT hospital_id, count(DISTINCT visit_id) AS visits FROM fact_pati
 SELECT n.*, m.mid FROM n CROSS JOIN m WHERE n.visits > m.mid ORDER BY n.visits DESC, n.hospital_id""",
 }
 
-PANELS = {"clinical": ("q_visits_by_hospital", "q_repeat_rates", "q_monthly"), "operational": ("q_department_shift", "q_busy_doctors", "q_above_median"), "claims": ("q_journey", "q_reasons", "q_stages"), "reference": ("q_hospitals", "q_counts")}
+PANELS = {
+    "headline": ("q_headline", "q_misattributed", "q_claim_totals"),
+    "clinical": ("q_visits_by_hospital", "q_repeat_rates", "q_monthly", "q_spread", "q_top_procedures"),
+    "operational": ("q_department_shift", "q_busy_doctors", "q_above_median", "q_occupancy_grid", "q_occupancy_months"),
+    "claims": ("q_journey", "q_reasons", "q_stages", "q_settlement"),
+    "quality": ("q_checks", "q_checks_summary"),
+    "reference": ("q_hospitals", "q_counts", "q_insurers", "q_code_provenance", "q_payment_modes"),
+}
 
 #: The checking engine's name for the function, where it differs.
 _TWIN = {"datediff('day',": "date_diff('day',"}
@@ -69,6 +112,15 @@ def panels(spark: SparkSession, folder: str) -> dict[str, dict[str, DataFrame]]:
     return {p: {n: answer(spark, folder, n) for n in names} for p, names in PANELS.items()}
 
 
+def report(spark: SparkSession, folder: str, only: Sequence[str] | None = None) -> str:
+    """Markdown with a section for each question (all, or those named): its SQL and its rows."""
+    unknown = set(only or ()) - set(QUESTIONS)
+    if unknown:
+        raise ValueError(f"no such questions: {sorted(unknown)}")
+    names = [n for n in QUESTIONS if not only or n in only]
+    return "\n\n".join(f"## {n}\n\n```sql\n{QUESTIONS[n].strip()}\n```\n\n{markdown(answer(spark, folder, n))}" for n in names) + "\n"
+
+
 def _run(name: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return answer(spark, folder, name)

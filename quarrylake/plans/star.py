@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar
 from ..functions.similarity import jaro_winkler
 from ..functions.text import normalize_name, normalize_phone, reference_sequence, sha_key, title_pattern
-from ..operators.entity import assign_stable_ids, block_pairs, candidate_pairs, exact_links, oversized, pair_quality, survivors, three_way, weighted_score
+from ..operators.entity import assign_stable_ids, block_pairs, exact_links, oversized, pair_quality, survivors, three_way, weighted_score
 from ..operators.graph import components
 from ..operators.history import close_open, type2_loads, type2_merge
 from ..operators.inference import infer_codes
@@ -314,25 +314,18 @@ def _blocked(spark, folder):
     return c, {"acct": F.concat_ws("|", F.col("c_nationkey").cast("string"), step(50)), "seg": F.concat_ws("|", "c_mktsegment", step(10))}
 
 
-@query(f"""{_BLOCKS} select x.r as a, y.r as b, string_agg(distinct x.s, ',' order by x.s) as strategies from k x join k y on x.s = y.s and x.b = y.b and x.r < y.r join z on z.s = x.s and z.b = x.b and z.n between 2 and 6 group by 1, 2""")
-def blocked_pairs(spark, folder):
-    """Candidate pairs of customers from two strategies, in blocks of up to six."""
-    c, keys = _blocked(spark, folder)
-    return candidate_pairs(c, "c_custkey", keys, 6).withColumn("strategies", F.array_join("strategies", ","))
-
-
 @query(f"{_BLOCKS} select x.r as a, y.r as b, string_agg(distinct x.s, ',' order by x.s) as strategies from k x join k y on x.s = y.s and x.b = y.b and x.r < y.r group by 1, 2")
-def blocked_pairs_whole(spark, folder):
+def blocked_pairs(spark, folder):
     """Candidate pairs of customers from two strategies, in blocks of any size."""
     c, keys = _blocked(spark, folder)
     return block_pairs(c, "c_custkey", keys).withColumn("strategies", F.array_join("strategies", ","))
 
 
-@query(f"{_BLOCKS} select s as strategy, b as block_key, n from z where n > 6")
-def blocks_left_out(spark, folder):
-    """Blocks that are too large to tell anything."""
+@query(f"{_BLOCKS} select s as strategy, b as block_key, n from z where n > 2")
+def large_blocks(spark, folder):
+    """Blocks of more than two customers."""
     c, keys = _blocked(spark, folder)
-    return oversized(c, "c_custkey", keys, 6)
+    return oversized(c, "c_custkey", keys, 2)
 
 
 _NAMES = "with n as (select distinct p_name, left(p_name, 2) as k from part)"
@@ -401,9 +394,26 @@ def registry_ids(spark, folder):
     return both.select(F.col("node").cast("bigint").alias("node"), "label", F.coalesce(F.col("entity_id") == F.col("old"), F.lit(True)).alias("kept"), (F.col("old").isNotNull() | (F.col("entity_id") > top)).alias("is_new_above"))
 
 
-@query()
+def _sound(c: str) -> str:
+    """Soundex in SQL: letters to digits, H and W vanish after the first letter, runs of a digit shrink, vowels vanish."""
+    digits = f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    rest = f"left({digits}, 1) || replace(substr({digits}, 2), '7', '')"
+    for d in "0123456":
+        rest = f"regexp_replace({rest}, '{d}+', '{d}', 'g')"
+    return f"case when {c} <> '' then rpad(left(left({c}, 1) || replace(substr({rest}, 2), '0', ''), 4), 4, '0') end"
+
+
+def _norm(c: str) -> str:
+    letters = f"trim(regexp_replace(regexp_replace(upper(trim({c})), '[^A-Z ]', ' ', 'g'), ' +', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace({letters}, '{title_pattern()}', ''), '{title_pattern()}', ''))"
+
+
+@query(f"""with p as (select mpi_id, dob, lower(trim(city)) as city, {_norm("name")} as n from patient_master where mpi_id is not null), w as (select *, split_part(n, ' ', 1) as f, case when n like '% %' then split_part(n, ' ', -1) end as l from p),
+s as (select mpi_id, dob, city, {_sound("f")} as s1, {_sound("l")} as s2 from w),
+k as (select mpi_id as r, 'date' as s, s1 || '|' || dob::varchar as b from s union select mpi_id, 'year', s1 || '|' || s2 || '|' || year(dob)::varchar from s union select mpi_id, 'city', s1 || '|' || s2 || '|' || city from s where city <> '')
+select x.r as a, y.r as b, string_agg(distinct x.s, ',' order by x.s) as strategies from k x join k y on x.s = y.s and x.b = y.b and x.r < y.r group by 1, 2""")
 def soundex_blocks(spark, folder):
-    """Candidate pairs of patients by the sound of first and last name with birth date, birth year or city (no SQL twin: the other engine has no soundex)."""
+    """Candidate pairs of patients by the sound of first and last name with birth date, birth year or city."""
     p = table(spark, folder, "patient_master").select("mpi_id", "dob", F.lower(F.trim("city")).alias("city"), F.split(normalize_name(F.col("name")), " ").alias("w"))
     first, last = F.soundex(F.get("w", F.lit(0))), F.when(F.size("w") > 1, F.soundex(F.element_at("w", -1)))
     both = lambda *c: F.when(F.greatest(*[x.isNull() | (x == "") for x in c]) == F.lit(False), F.concat_ws("|", *c))
@@ -462,11 +472,11 @@ def pressure_days(spark, folder):
 
 @query("""with d as (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as day)
 select strftime(day, '%Y%m%d')::bigint as date_sk, year(day) as year, quarter(day) as quarter, month(day) as month, dayofyear(day) as day_of_year, week(day) as week, dayname(day) as day_name, monthname(day) as month_name, strftime(last_day(day), '%Y-%m-%d') as month_end,
- 'FY' || (year(day) - (month(day) < 4)::int) || '-' || lpad((((year(day) - (month(day) < 4)::int) + 1) % 100)::varchar, 2, '0') as fiscal_year, ((month(day) + 8) % 12) // 3 + 1 as fiscal_quarter, (month(day) + 8) % 12 + 1 as fiscal_month, dayofweek(day) in (0, 6) as is_weekend from d""")
+ 'FY' || (year(day) - (month(day) < 4)::int) || '-' || lpad((((year(day) - (month(day) < 4)::int) + 1) % 100)::varchar, 2, '0') as fiscal_year, ((month(day) + 8) % 12) // 3 + 1 as fiscal_quarter, (month(day) + 8) % 12 + 1 as fiscal_month, dayofweek(day) in (0, 6) as is_weekend, month(day) between 6 and 9 as is_monsoon from d""")
 def date_dim(spark, folder):
     """Calendar with fiscal years from April."""
     c = calendar(spark, "1995-01-01", "2001-12-31")
-    return c.select(*big("date_sk", "year", "quarter", "month", "day_of_year", "week"), "day_name", "month_name", text_day("month_end"), "fiscal_year", *big("fiscal_quarter", "fiscal_month"), "is_weekend")
+    return c.select(*big("date_sk", "year", "quarter", "month", "day_of_year", "week"), "day_name", "month_name", text_day("month_end"), "fiscal_year", *big("fiscal_quarter", "fiscal_month"), "is_weekend", "is_monsoon")
 
 
 # --- aggregates -----------------------------------------------------------------------------------------------------

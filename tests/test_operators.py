@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarrylake.functions.dates import calendar, parse_by_source
 from quarrylake.functions.similarity import jaro_winkler_of
 from quarrylake.functions.text import normalize_name, normalize_phone, reference_sequence
-from quarrylake.operators.entity import assign_stable_ids, block_pairs, candidate_pairs, exact_links, pair_quality
+from quarrylake.operators.entity import assign_stable_ids, block_pairs, exact_links, id_aliases, pair_quality
 from quarrylake.operators.graph import components
 from quarrylake.operators.inference import infer_codes
 from quarrylake.operators.intervals import daily_state, expand_days, segments
@@ -140,9 +140,9 @@ def test_stable_ids_when_clusters_merge(spark):
 
 def test_pairs_links_and_quality(spark):
     df = spark.createDataFrame([(1, "x", "a"), (2, "x", "a"), (3, "x", "b"), (4, None, "b"), (4, None, "b")], "r int, p string, q string")
-    got = {(r["a"], r["b"]): r["strategies"] for r in candidate_pairs(df, "r", {"p": F.col("p"), "q": F.col("q")}, 10).collect()}
+    got = {(r["a"], r["b"]): r["strategies"] for r in block_pairs(df, "r", {"p": F.col("p"), "q": F.col("q")}, most=10).collect()}
     assert got == {(1, 2): ["p", "q"], (1, 3): ["p"], (2, 3): ["p"], (3, 4): ["q"]}
-    assert candidate_pairs(df, "r", {"p": F.col("p")}, 2).count() == 0
+    assert block_pairs(df, "r", {"p": F.col("p")}, most=2).count() == 0
     assert sorted(tuple(r) for r in exact_links(df, "r", "p").collect()) == [(1, 2), (1, 3)]
     r = pair_quality(df.filter("p is not null"), "r", "p", "q").first()
     assert (r["n_predicted"], r["n_actual"], r["n_both"], r["precision"], r["recall"], r["f1"]) == (3, 1, 1, 0.333333, 1.0, 0.5)
@@ -189,7 +189,7 @@ def test_pairs_of_blocks_of_any_size(spark):
         rows = block_pairs(df, "id", keys, part).collect()
         assert len(rows) == len(want) and {(r["a"], r["b"]): r["strategies"] for r in rows} == want
     small = df.filter("id < 5")
-    assert sorted(map(str, block_pairs(small, "id", keys).collect())) == sorted(map(str, candidate_pairs(small, "id", keys, 5).collect()))
+    assert sorted(map(str, block_pairs(small, "id", keys).collect())) == sorted(map(str, block_pairs(small, "id", keys, 2, most=5).collect()))
     assert block_pairs(df.limit(0), "id", keys).count() == 0
 
 

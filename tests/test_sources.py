@@ -151,7 +151,7 @@ def test_self_check(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     assert plain(float("nan")) is None and plain(float("inf")) is None
     paths = write_panels(str(tmp_path), panels(spark, "/root/testdata/sf0.001"), {"run": "r1"})
-    assert len(paths) == 4 and json.loads(open(paths[0]).read())["provenance"] == {"run": "r1"}
+    assert len(paths) == 6 and json.loads(open(paths[0]).read())["provenance"] == {"run": "r1"}
     df = spark.createDataFrame([("a|b", None)], "x string, y int")
     assert markdown(df).splitlines()[2] == "| a\\|b |  |"
     with pytest.raises(ValueError):
