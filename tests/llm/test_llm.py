@@ -1,7 +1,7 @@
 import itertools
 import random
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quarrylake.llm import queries
 from quarrylake.llm.groups import groups_by_shared, hash_to_min
-from quarrylake.llm.linkage import FEATURES, claim_bill_pairs, fit_logistic, sequence_of, sketches
+from quarrylake.llm.linkage import FEATURES, candidates, claim_bill_pairs, fit_logistic, least_accepted, sequence_of, sketches
 from quarrylake.llm.names import best_sum, distance, name_match, near_dates, near_phones, person_pairs, plain_name, radius_join, sound
 from quarrylake.llm.packing import packed, spread
 from quarrylake.llm.subjects import sentences, subject_areas
@@ -258,11 +258,62 @@ def test_claims_and_bills_of_a_small_case(spark):
 
 def test_claims_and_bills_of_a_table(spark):
     m = queries.p7_matches(spark, "/root/testdata/sf0.01").toPandas()
-    assert m.claim_id.is_unique and m.confidence.between(0.7, 1).all() and set(FEATURES) & set(m.columns) == set()
+    assert m.claim_id.is_unique and m.confidence.between(0.5, 1).all() and set(FEATURES) & set(m.columns) == set()
     n = spark.read.parquet("/root/testdata/sf0.01/claims.parquet").select("claim_id").distinct().count()
     assert 0.88 < len(m) / n < 0.99
 
 
+def planted(n=4000, seed=11):
+    """Bills, claims and the true bill of each claim (None: never delivered)."""
+    rng = np.random.default_rng(seed)
+    bills, claims, truth = [], [], {}
+    for i in range(n):
+        h, a, m = f"H{rng.integers(1, 4)}", date(2023, 1, 1) + timedelta(int(rng.integers(0, 300))), float(np.round(rng.lognormal(10, 0.8), 2))
+        b, stay, patient = f"NH-AAA-2023-{i:06d}", int(rng.geometric(0.25)), f"P{rng.integers(0, n // 2)}"
+        end = a + timedelta(stay)
+        delivered = rng.random() < 0.9
+        if delivered:
+            bills.append((b, patient, h, f"V{i:07d}", a, end, Decimal(str(m)), Decimal(str(round(m * 1.1, 2))), end))
+        if rng.random() < 0.85:
+            c, u = f"c{i}", rng.random(6)
+            ref = b if u[0] < 0.35 else f"ref {i}" if u[0] < 0.55 else None
+            who = patient if u[1] < 0.7 else f"P{rng.integers(0, n // 2)}" if u[1] < 0.75 else None
+            day = a + timedelta(int(rng.integers(-2, 3))) if u[2] < 0.15 else None if u[2] < 0.2 else a
+            amount = m if u[3] < 0.5 else round(m, -2) if u[3] < 0.7 else m * (1 + 0.01 * rng.standard_normal()) if u[3] < 0.9 else m * rng.uniform(0.5, 0.9)
+            claims.append((c, who, h, ref, end + timedelta(9), day, end if u[4] < 0.8 else None, Decimal(str(round(amount, 2))), date(2024, 1, 1), datetime(2024, 1, 1)))
+            truth[c] = b if delivered else None
+    return claims, bills, truth
+
+
+def test_claims_of_known_truth(spark):
+    claims, bills, truth = planted()
+    got = {r["claim_id"]: (r["bill_id"], r["confidence"]) for r in claim_bill_pairs(spark.createDataFrame(claims, CLAIMS), spark.createDataFrame(bills, BILLS)).collect()}
+    real = {c for c, b in truth.items() if b}
+    right = {c for c, (b, _) in got.items() if truth[c] == b}
+    assert len(right) / len(real) > 0.95 and len(right) / len(got) > 0.95
+    # the confidence is reliable: in each range it is about the share of right pairs
+    for low, high in ((0.5, 0.9), (0.9, 0.99), (0.99, 1.01)):
+        own = [(c, p) for c, (_, p) in got.items() if low <= p < high]
+        if len(own) >= 50:
+            assert abs(sum(c in right for c, _ in own) / len(own) - sum(p for _, p in own) / len(own)) < 0.1
+    assert abs(len(right) / len(got) - sum(p for _, p in got.values()) / len(got)) < 0.03
+
+
+def test_candidates_and_how_alike_they_are(spark):
+    rng = random.Random(2)
+    sets = {f"a{i}": {rng.randrange(60) for _ in range(rng.randint(1, 12))} for i in range(40)}
+    df = spark.createDataFrame([(k, [str(x) for x in v]) for k, v in sets.items()], "k string, e array<string>")
+    one, two = sketches(df, "k", F.col("e"), 24), sketches(df.withColumnRenamed("k", "q"), "q", F.col("e"), 24)
+    got = {(r["k"], r["q"]): r["alike"] for r in candidates(one, two, "k", "q").collect()}
+    want = {(x, y): len(a & b) / len(a | b) for x, a in sets.items() for y, b in sets.items() if a & b}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_least_accepted():
+    sure, decoy = np.array([0.97] * 100 + [0.72] * 40 + [0.62] * 40), np.array([False] * 95 + [True] * 5 + [False] * 30 + [True] * 10 + [False] * 10 + [True] * 30)
+    assert least_accepted(sure, decoy, 0.5) == 0.65 and least_accepted(sure, decoy, 0.1) == 0.5 and least_accepted(sure[:0], decoy[:0], 0.5) == 0.5
+
+
 # --- subjects -------------------------------------------------------------------------------------------------------
 
 
