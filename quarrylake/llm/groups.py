@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup
-from ..session import shared_folder
+from ..session import drop_written, shared_folder
 
 
 def _kept(df: DataFrame) -> tuple[DataFrame, tuple]:
@@ -18,7 +18,9 @@ def _kept(df: DataFrame) -> tuple[DataFrame, tuple]:
     path = os.path.join(shared_folder(df.sparkSession), f"groups-{uuid.uuid4().hex}")
     low = F.xxhash64("v", "u")
     df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(low.cast("decimal(20,0)")).alias("s"), F.bit_xor(low).alias("x")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), (seen.get["n"], seen.get["s"], seen.get["x"])
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out, (seen.get["n"], seen.get["s"], seen.get["x"])
 
 
 def hash_to_min(pairs: DataFrame, a: str, b: str, most_rounds: int = 64) -> DataFrame:
@@ -27,7 +29,7 @@ def hash_to_min(pairs: DataFrame, a: str, b: str, most_rounds: int = 64) -> Data
     Each node v has a cluster, kept as rows (v, u) and never as one value. In a round v finds its least member m, sends its
     cluster to m and m to every member, until no cluster changes: a chain of n links is halved a round. Least members are
     partial aggregates, and clusters that hold much of the table are split over many tasks (lookup). Each round is a table
-    in the shared folder, so a lost executor costs a part of one round.
+    in the shared folder, so a lost executor costs a part of one round; the table of the round before is then deleted.
 
     Pairs with a null side are dropped, pairs of a node with itself make a group of one, repeated pairs count once, an empty
     table gives an empty one. Order is that of the ids' own type (strings by their bytes).
@@ -38,7 +40,9 @@ def hash_to_min(pairs: DataFrame, a: str, b: str, most_rounds: int = 64) -> Data
     for _ in range(most_rounds):
         least = rows.groupBy("v").agg(F.min("u").alias("m"))
         sent = F.array(F.struct(F.col("m").alias("v"), "u"), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))
+        before = rows
         rows, new = _kept(lookup(rows, least, ["v"], "inner").select(F.inline(sent)).distinct())
+        drop_written(before)
         if new == digest:
             return rows.groupBy("v").agg(F.min("u").alias("group")).withColumnRenamed("v", "node")
         digest = new

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from datetime import date, timedelta
-from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_phone
+from ..operators.lookup import lookup
 from ..session import written
 from .groups import hash_to_min
 
@@ -42,17 +42,18 @@ def radius_join(elements: DataFrame, anchor: str, word: str, row: str, radius: i
     """(a, b), a < b: pairs of rows that share an anchor and have words within `radius` of each other, each pair once.
 
     The space is that of (anchor, word) with Levenshtein's distance between words of one anchor and an infinite one between
-    anchors: a metric. Words of an anchor are assigned to their nearest pivot; pivots are words of the anchor, as many as
-    sqrt(n / cell) of its n words, so that large anchors have many cells. A word whose distance to another pivot is at most
-    2 * radius more than to its own is repeated there: by the triangle inequality each pair within the radius then meets in
-    the cell of either of its words. Inside a cell the distance is computed exactly. Nothing is dropped at any size. Equal
-    words are compared once and stand for all their rows; nulls are dropped.
+    anchors: a metric. Words of an anchor are assigned to their nearest pivot; pivots are words of the anchor, drawn by hash,
+    about sqrt(n / cell) of its n words, so that large anchors have many cells. A word whose distance to another pivot is at
+    most 2 * radius more than to its own is repeated there: by the triangle inequality each pair within the radius then meets
+    in the cell of either of its words. Inside a cell the distance is computed exactly. Nothing is dropped at any size, and no
+    task sees an anchor as a whole but for its pivots. Equal words are compared once and stand for all their rows; nulls are
+    dropped.
     """
     rows = elements.select(F.col(anchor).alias("k"), F.col(word).alias("w"), F.col(row).alias("r")).dropna().distinct()
     words = rows.select("k", "w").distinct()
-    rank = F.row_number().over(Window.partitionBy("k").orderBy(F.xxhash64("w"), "w"))
-    many = words.groupBy("k").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / F.lit(cell))).alias("m"))
-    pivots = words.withColumn("i", rank).join(many.filter("m > 1"), "k").filter("i <= m").groupBy("k").agg(F.collect_list("w").alias("pivots"))
+    large = words.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell)
+    drawn = F.pmod(F.xxhash64("w"), F.lit(1 << 20)) < F.lit(1 << 20) * F.sqrt(F.col("n") * cell) / (F.col("n") * cell)
+    pivots = words.join(large, "k").filter(drawn).groupBy("k").agg(F.sort_array(F.collect_list("w")).alias("pivots"))
     placed = words.join(pivots, "k", "left")
     far = F.transform("pivots", lambda p: F.levenshtein("w", p))
     placed = placed.withColumn("far", far).withColumn("near", F.array_min("far"))
@@ -139,9 +140,16 @@ def best_sum(grades: list[list[int]]) -> int:
     return sum(own) if all(own) else 0
 
 
+def run_together(words: list[tuple[str, str]]) -> set[str]:
+    """A name's words without blanks, forwards and backwards, beginning with each of them: all orders of up to three words."""
+    ways = ([w for _, w in words], [w for _, w in reversed(words)])
+    return {"".join(z[i:] + z[:i]) for z in ways for i in range(len(z))}
+
+
 def name_match(a: list[tuple[str, str]], b: list[tuple[str, str]], nick: dict[str, set[str]]) -> int:
     """How well two names agree whatever their order: 0 not, else the sum over words of the shorter (all must match, one
-    of them as more than an initial). Names run together are compared without blanks."""
+    of them as more than an initial). Names run together are compared without blanks, in the order given or reversed and from
+    any word on."""
     if not a or not b:
         return 0
     if len(a) > len(b):
@@ -150,9 +158,8 @@ def name_match(a: list[tuple[str, str]], b: list[tuple[str, str]], nick: dict[st
     if best <= len(a) or (len(a) == 1 and len(b) > 1):
         best = 0  # initials alone, or one word of several, are not a name
     if not best and len(a) != len(b):
-        for p in permutations(a) if len(a) <= 3 else [a]:
-            for q in permutations(b) if len(b) <= 3 else [b]:
-                x, y = ("".join(w for _, w in z) for z in (p, q))
+        for x in run_together(a):
+            for y in run_together(b):
                 if min(len(x), len(y)) >= 7 and distance(x, y, 2) <= 2:
                     return 3
     return best
@@ -208,7 +215,14 @@ def person_pairs(people: DataFrame, nicknames: DataFrame, key: str = "mpi_id") -
         F.col(key).alias("r"), plain_name(F.col("name")).alias("typed"), sound(plain_name(F.col("name"))).alias("n"), F.coalesce(normalize_phone(F.col("phone")), F.lit("")).alias("ph"),
         F.coalesce(F.date_format("dob", "yyyy-MM-dd"), F.lit("")).alias("dob"), F.upper(F.substring(F.trim("gender"), 1, 1)).alias("g"), F.upper(F.trim("blood_group")).alias("bl"),
     ).filter("r is not null and n <> ''").distinct()
-    rows = written(rows, "people")
+    every = written(rows, "people")
+    # rows alike, with a name and an anchor to match by, stand under the least key of them; all others for themselves
+    told = F.col("typed").rlike("[a-z]{2}") & ((F.col("ph") != "") | (F.col("dob") != ""))
+    about = ["typed", "n", "ph", "dob", "g", "bl"]
+    alike = F.struct(*about, F.when(told, F.lit("")).otherwise(F.col("r")).alias("own"))  # structs take null for equal to null
+    heads = every.groupBy(alike.alias("k")).agg(F.min("r").alias("head"))
+    copies = lookup(every.select("r", alike.alias("k")), heads, ["k"], "inner").filter("r <> head").select(F.least("head", "r").alias("a"), F.greatest("head", "r").alias("b"))
+    rows = written(heads.select(F.col("head").alias("r"), *[F.col(f"k.{c}") for c in about]), "heads")
     short = nicknames.select(sound(plain_name(F.col("short_form"))).alias("s"), sound(plain_name(F.col("full_form"))).alias("f")).dropna().distinct()
     nick: dict[str, set[str]] = defaultdict(set)
     for s, f in short.collect():  # a fixed list
@@ -223,7 +237,7 @@ def person_pairs(people: DataFrame, nicknames: DataFrame, key: str = "mpi_id") -
     slips = slips.join(slips.groupBy("k").agg(F.min("ph").alias("x"), F.max("ph").alias("y")).filter("x <> y").select("k"), "k")
     slips = slips.select("r", F.concat(F.lit("s"), "k").alias("k")).distinct().join(rows, "r")
     anchored = rows.withColumn("k", F.explode(anchors)).unionByName(slips.select(*rows.columns, "k"))
-    words = anchored.select("r", "k", F.array_distinct(F.concat(split, joined)).alias("ws")).select("r", "k", F.explode("ws").alias("w")).filter("length(w) > 2")
+    words = anchored.select("r", "k", F.array_distinct(F.concat(split, joined)).alias("ws")).select("r", "k", F.explode("ws").alias("w")).filter("length(w) > 1")
     full = words.join(F.broadcast(short.withColumnRenamed("s", "w")), "w").select("r", "k", F.col("f").alias("w"))
     close = radius_join(words.unionByName(full), "k", "w", "r")
     x, y = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in rows.columns]) for i in (1, 2))
@@ -241,10 +255,10 @@ def person_pairs(people: DataFrame, nicknames: DataFrame, key: str = "mpi_id") -
             out.append(fits and name_match(words(t, a), words(u, b), known) > 0)
         return pd.Series(out, dtype=bool)
 
-    links = seen.filter(one_person("typed1", "typed2", "n1", "n2", "ph1", "ph2", "dob1", "dob2")).select("a", "b").distinct()
+    links = seen.filter(one_person("typed1", "typed2", "n1", "n2", "ph1", "ph2", "dob1", "dob2")).select("a", "b").unionByName(copies).distinct()
     links = written(links, "links")
     found = hash_to_min(links, "a", "b")
-    marks = rows.groupBy(F.col("r").alias("node")).agg(F.max("g").alias("g"), F.max("bl").alias("bl"))
+    marks = every.groupBy(F.col("r").alias("node")).agg(F.max("g").alias("g"), F.max("bl").alias("bl"))
     found = found.join(marks, "node")
     one, two = (found.select("group", *[F.col(c).alias(f"{c}{i}") for c in ("node", "g", "bl")]) for i in (1, 2))
     pairs = one.join(two, "group").filter(F.col("node1") < F.col("node2")).filter(agree("g") & agree("bl"))

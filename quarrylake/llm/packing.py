@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 #: Attention cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 
-#: Parts into which the items of one size are numbered side by side.
-PARTS = 256
-
 
 def spread(left: dict[int, int], capacity: int, containers: int) -> tuple[list[tuple[int, int, int, int]], int]:
     """Places for items of given sizes (size -> count) and the containers used, opened beyond `containers` if need be.
