@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -32,22 +33,37 @@ SEEN, WEIGHT, LENGTH, COSINE = 3, 0.3, 0.2, 0.3
 #: Share of the sentences about any subject from which a document is about one.
 SHARE = 0.25
 
-_WORDS = re.compile(r"[a-zß-ÿ]+(?:'[a-z]+)?|[ऀ-ॣ॰-ॿ]+").findall
+#: Stands between sentences among the words of a text.
+END = "\x00"
+
+_WORDS = re.compile(r"[a-zß-ÿ]+(?:'[a-z]+)?|[ऀ-ॣ॰-ॿ]+|\x00").findall
 _HYPHEN = re.compile(r"-\n(?=\w)")
 _TAG = re.compile(r"<[^>]{0,40}>")
-_BREAK = re.compile(r"[.!?।]+(?:\s+|$)|\n\s*\n|\n\s*[-*•]\s|(?<=[.!?।:;>\"”)])\s*\n").split
+_BREAK = re.compile(r"[.!?।]+(?:\s+|$)|\n\s*\n|\n\s*[-*•]\s|(?<=[.!?।:;>\"”)])\s*\n").sub
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """Words of each sentence with any, in lower case; words broken at line ends are joined and tags end a sentence."""
+def scanned(text: str | None) -> list[str]:
+    """Words of a text in lower case, with END where a sentence does; words broken at line ends are joined, tags end a sentence."""
     if not text:
         return []
-    text = text.lower()
+    text = text.lower().replace(END, " ")
     if "-\n" in text:
         text = _HYPHEN.sub("", text)
     if "<" in text:
         text = _TAG.sub("\n\n", text)
-    return [w for w in map(_WORDS, _BREAK(text)) if w]
+    return _WORDS(_BREAK(END, text))
+
+
+def sentences(text: str | None) -> list[list[str]]:
+    """Words of each sentence that has any."""
+    out, own = [], []
+    for w in [*scanned(text), END]:
+        if w != END:
+            own.append(w)
+        elif own:
+            out.append(own)
+            own = []
+    return out
 
 
 def terms(words: list[str]) -> set[str]:
@@ -55,50 +71,91 @@ def terms(words: list[str]) -> set[str]:
     return {*words, *map(" ".join, zip(words, words[1:]))}
 
 
+def summed(vectors: np.ndarray, row: np.ndarray, term: np.ndarray, rows: int) -> np.ndarray:
+    """Sum of the vectors of each row's terms; `row` ascends."""
+    out = np.zeros((rows, vectors.shape[1]), np.float32)
+    if len(row):
+        start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        out[row[start]] = np.add.reduceat(vectors[term], start, axis=0)
+    return out
+
+
 @dataclass
 class Model:
-    """Terms and the vector of each; centroids and the subject of each."""
+    """Terms and the vector of each; centroids and the subject of each; the evidence that a sentence needs.
+
+    Terms are kept as numbers of words: `word` gives a word's number (END is -1), `single` the term of a word or -1, `codes` the
+    ascending numbers of pairs of words and `pair` their terms.
+    """
 
     names: list[str]
-    place: dict[str, int]
+    word: dict[str, int]
+    single: np.ndarray
+    codes: np.ndarray
+    pair: np.ndarray
     vectors: np.ndarray
     centroids: np.ndarray
     subject_of: np.ndarray
+    kept: np.ndarray  # the terms' numbers where it was fitted
     evidence: float = 0.0
 
+    def terms_of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        """(sentence, term) of every different term of each sentence, ascending, and the number of sentences; END begins one."""
+        ids = np.fromiter(map(self.word.get, tokens, repeat(-2)), np.int64, len(tokens))
+        sentence = np.cumsum(ids == -1)
+        here = np.flatnonzero(ids >= 0)
+        one = self.single[ids[here]]
+        both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        code = ids[both] * len(self.word) + ids[both + 1]
+        at = np.searchsorted(self.codes, code)
+        hit = self.codes[np.minimum(at, max(len(self.codes) - 1, 0))] == code if len(self.codes) else np.zeros(len(code), bool)
+        size = max(len(self.vectors), 1)
+        key = np.concatenate([sentence[here[one >= 0]] * size + one[one >= 0], sentence[both[hit]] * size + self.pair[at[hit]]])
+        key = np.unique(key)
+        return key // size, key % size, int(sentence[-1]) + 1 if len(tokens) else 0
+
     def about(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Subject of each embedded sentence (-1: none) but for the evidence asked for, and its evidence: how long it is in the
         direction of the nearest centroid, so that a few terms that tell little make no subject however well they fit."""
         near, cosine, length = self.judge(x)
         return np.where((length >= LENGTH) & (cosine >= COSINE), near, -1), length * np.maximum(cosine, 0)
 
-    def areas(self, near: np.ndarray, share: float) -> np.ndarray:
-        """Subjects that take up at least `share` of a document's sentences about any."""
-        c = np.bincount(near[near >= 0], minlength=len(self.names))
-        return np.flatnonzero((c > 0) & (c >= share * c.sum()))
-
-    def embed(self, found: list[int], ends: list[int]) -> np.ndarray:
-        """Sum of the vectors of each sentence's terms; ends tells where a sentence's terms end."""
-        out = np.zeros((len(ends), self.vectors.shape[1]), np.float32)
-        stop = np.array(ends, np.int64)
-        start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
-        some = np.flatnonzero(stop > start)
-        if len(some):
-            out[some] = np.add.reduceat(self.vectors[np.array(found, np.int64)], start[some], axis=0)
-        return out
-
-    def judge(self, x: np.ndarray, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def areas(self, doc: np.ndarray, near: np.ndarray, docs: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+        """(document, subject) for the subjects that take up at least `share` of a document's sentences about any."""
+        some = near >= 0
+        n = max(len(self.names), 1)
+        count = np.bincount(doc[some] * n + near[some], minlength=docs * n).reshape(docs, n)
+        return np.nonzero((count > 0) & (count >= share * count.sum(1, keepdims=True)))
+
+    def judge(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Subject of the nearest centroid, its cosine, and length of each embedded sentence."""
         length = np.linalg.norm(x, axis=1)
+        if not len(self.centroids) or not len(x):
+            return np.zeros(len(x), int), np.zeros(len(x)), length
         cosine = (x / np.maximum(length, 1e-9)[:, None]) @ self.centroids.T
-        if allowed is not None:
-            cosine = np.where(allowed[:, self.subject_of], cosine, -2)
-        best = cosine.argmax(1) if len(self.centroids) and len(x) else np.zeros(len(x), int)
-        return self.subject_of[best] if len(self.centroids) else best, cosine.max(1) if len(self.centroids) and len(x) else np.zeros(len(x)), length
+        best = cosine.argmax(1)
+        return self.subject_of[best], cosine[np.arange(len(x)), best], length
 
 
-def fit(names: list[str], told: list[tuple[frozenset[int], str, list[str]]]) -> Model:
-    """Model from sentences (subjects of the document, language, words).
+class Told:
+    """Sentences whose document's subjects are known, as numbers: built once, fitted on as a whole or in part."""
+
+    def __init__(self, names: list[str], told: list[tuple[frozenset[int], str, list[str]]]):
+        number: dict[str, int] = {}
+        lists = [[number.setdefault(t, len(number)) for t in terms(w)] for _, _, w in told]
+        self.names, self.terms = names, list(number)
+        self.row = np.repeat(np.arange(len(told)), [len(x) for x in lists]).astype(np.int64)
+        self.term = np.fromiter((t for x in lists for t in x), np.int64, len(self.row))
+        self.own = np.zeros((len(told), len(names)), bool)
+        for r, (s, _, _) in enumerate(told):
+            self.own[r, list(s)] = True
+        self.langs = sorted({lang for _, lang, _ in told})
+        place = {x: i for i, x in enumerate(self.langs)}
+        self.lang = np.array([place[x] for _, x, _ in told], np.int64)
+
+
+def fit(told: Told, rows: np.ndarray | None = None) -> Model:
+    """Model from the told sentences, or from those of the given rows.
 
     Sentences of documents with one subject seed it. A term weighs as much as its share among the subjects differs from an
     even one (nothing if it is as frequent everywhere). Sentences of a subject and language are pooled into PARTS documents
@@ -107,25 +164,22 @@ def fit(names: list[str], told: list[tuple[frozenset[int], str, list[str]]]) ->
     the document's own subjects, or none if a foreign subject or nothing is near, and all is computed anew until hardly any
     sentence moves (STABLE), ROUNDS times at most.
     """
-    told = [(s, lang, terms(w)) for s, lang, w in told]
-    seen: dict[str, int] = {}
-    for _, _, t in told:
-        for x in t:
-            seen[x] = seen.get(x, 0) + 1
-    kept = sorted(x for x, n in seen.items() if n >= SEEN) or sorted(seen)
-    place = {x: i for i, x in enumerate(kept)}
-    lists = [[place[x] for x in t if x in place] for _, _, t in told]
-    found = np.array([i for x in lists for i in x], np.int64)
-    ends = np.cumsum([len(x) for x in lists]).tolist()
-    row = np.repeat(np.arange(len(told)), [len(x) for x in lists])
-    n, own = len(names), np.zeros((len(told), len(names)), bool)
-    for r, (s, _, _) in enumerate(told):
-        own[r, list(s)] = True
-    langs = sorted({lang for _, lang, _ in told})
-    lang = np.array([langs.index(x) for _, x, _ in told], np.int64)
-    part = np.arange(len(told)) % PARTS
+    rows = np.arange(len(told.own)) if rows is None else rows
+    number = np.full(len(told.own), -1)
+    number[rows] = np.arange(len(rows))
+    row, own, lang, langs = number[told.row], told.own[rows], told.lang[rows], told.langs
+    seen = np.bincount(told.term[row >= 0], minlength=len(told.terms))
+    kept = np.flatnonzero(seen >= SEEN) if (seen >= SEEN).any() else np.flatnonzero(seen > 0)
+    place = np.full(len(told.terms), -1)
+    place[kept] = np.arange(len(kept))
+    used = (row >= 0) & (place[told.term] >= 0)
+    row, found = row[used], place[told.term[used]]
+    order = np.argsort(row, kind="stable")
+    row, found = row[order], found[order]
+    n, names = len(told.names), told.names
+    part = np.arange(len(rows)) % PARTS
     at = np.where(own.sum(1) == 1, own.argmax(1), -1)  # -1 unknown, n none
-    model = Model(names, place, np.zeros((len(kept), 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.int64))
+    model = Model(names, {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((len(kept), 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.int64), kept)
     for _ in range(ROUNDS):
         k = at[row] >= 0
         count = np.bincount(found[k] * (n + 1) + at[row][k], minlength=len(kept) * (n + 1)).reshape(len(kept), n + 1)
@@ -134,17 +188,22 @@ def fit(names: list[str], told: list[tuple[frozenset[int], str, list[str]]]) ->
         share /= share.sum(1, keepdims=True)
         weight = np.log(n + 1) + (share * np.log(share)).sum(1)
         weight[weight < min(WEIGHT, weight.max(initial=0))] = 0
+        live = np.flatnonzero(weight > 0)  # terms without weight have no vector
+        line = np.full(len(kept), -1)
+        line[live] = np.arange(len(live))
         pools = n * len(langs) * PARTS
         pool = (at * len(langs) + lang) * PARTS + part
-        k = (at[row] >= 0) & (at[row] < n)
-        mass = np.bincount(found[k] * pools + pool[row][k], minlength=len(kept) * pools).reshape(len(kept), pools)
+        k = (at[row] >= 0) & (at[row] < n) & (line[found] >= 0)
+        mass = np.bincount(line[found[k]] * pools + pool[row][k], minlength=len(live) * pools).reshape(len(live), pools)
         held = np.bincount(pool[(at >= 0) & (at < n)], minlength=pools)
-        mass = np.log1p(mass / np.sqrt(held + 5.0)) * weight[:, None]
+        mass = np.log1p(mass / np.sqrt(held + 5.0)) * weight[live, None]
         mass /= np.maximum(np.linalg.norm(mass, axis=0), 1e-9)
         value, turn = np.linalg.eigh(mass.T @ mass)
         top = [i for i in np.argsort(-value)[:RANK] if value[i] > 1e-9]
-        model.vectors = (mass @ turn[:, top] / np.sqrt(value[top]) * weight[:, None]).astype(np.float32)
-        x = model.embed(found, ends)
+        model.vectors = np.zeros((len(kept), max(len(top), 1)), np.float32)
+        model.vectors[live, : len(top)] = mass @ turn[:, top] / np.sqrt(value[top]) * weight[live, None]
+        some = line[found] >= 0
+        x = summed(model.vectors, row[some], found[some], len(rows))
         unit = x / np.maximum(np.linalg.norm(x, axis=1), 1e-9)[:, None]
         groups = [(s, g) for s in range(n) for g in range(len(langs)) if ((at == s) & (lang == g)).any()]
         means = [unit[(at == s) & (lang == g)].mean(0) for s, g in groups]
@@ -157,29 +216,46 @@ def fit(names: list[str], told: list[tuple[frozenset[int], str, list[str]]]) ->
         if (at != before).sum() <= STABLE * len(at):
             break
     live = np.flatnonzero(np.abs(model.vectors).sum(1) > 0)
-    model.place = {kept[i]: j for j, i in enumerate(live)}
-    model.vectors = model.vectors[live]
+    model.vectors, model.kept = model.vectors[live], kept[live]
+    texts = [told.terms[kept[i]].split(" ") for i in live]
+    model.word = {END: -1} | {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    model.single = np.full(len(model.word), -1, np.int64)
+    pairs = []
+    for j, t in enumerate(texts):
+        if len(t) == 1:
+            model.single[model.word[t[0]]] = j
+        else:
+            pairs.append((model.word[t[0]] * len(model.word) + model.word[t[1]], j))
+    model.codes, model.pair = (np.array(c, np.int64) for c in (zip(*sorted(pairs)) if pairs else ((), ())))
     return model
 
 
-def held_out_evidence(names: list[str], base: list, told: dict[object, list], share: float) -> float:
+def held_out_evidence(told: Told, doc: np.ndarray, first: int, share: float) -> float:
     """The evidence with which a model fitted on one half of the labelled documents agrees in full with most documents of the
     other, both halves in turn; of agreements nearly as good (mean of three steps) the middle one. 0 with fewer than 40 documents.
+
+    doc: each told sentence's document, ascending from 0 for those from row `first` on; sentences before it seed both halves.
     """
-    ids = sorted(told, key=str)
-    if len(ids) < 40:
+    docs = int(doc[-1]) + 1 if len(doc) else 0
+    if docs < 40:
         return 0.0
     agree = np.zeros(len(STEPS))
+    base, rest = np.arange(first), np.arange(first, len(told.own))
+    own = np.zeros((docs, len(told.names)), bool)
+    own[doc] = told.own[rest]
     for half in (0, 1):
-        model = fit(names, base + sorted((t for i in ids[1 - half :: 2] for t in told[i]), key=_order))
-        for i in ids[half::2]:
-            found, ends = [], []
-            for _, _, words in told[i]:
-                found += [p for p in map(model.place.get, terms(words)) if p is not None]
-                ends.append(len(found))
-            near, evidence = model.about(model.embed(found, ends))
-            for k, least in enumerate(STEPS):
-                agree[k] += set(model.areas(np.where(evidence >= least, near, -1), share)) == set(told[i][0][0])
+        model = fit(told, np.concatenate([base, rest[doc % 2 != half]]))
+        place = np.full(len(told.terms), -1)
+        place[model.kept] = np.arange(len(model.kept))
+        held = doc % 2 == half
+        number = np.full(len(told.own), -1)
+        number[rest[held]] = np.arange(held.sum())
+        used = (number[told.row] >= 0) & (place[told.term] >= 0)
+        near, evidence = model.about(summed(model.vectors, number[told.row[used]], place[told.term[used]], int(held.sum())))
+        for k, least in enumerate(STEPS):
+            got = np.zeros((docs, len(told.names)), bool)
+            got[model.areas(doc[held], np.where(evidence >= least, near, -1), docs, share)] = True
+            agree[k] += (got[half::2] == own[half::2]).all(1).sum()
     smooth = np.convolve(np.pad(agree, 1, "edge"), np.ones(3) / 3, "valid")
     best = np.flatnonzero(smooth >= smooth.max() - 1e-9)
     return STEPS[best[len(best) // 2]]
@@ -208,7 +284,7 @@ def labelled_sentences(documents: DataFrame, labels: DataFrame, names: list[str]
             yield pd.DataFrame(out, columns=["doc_id", "subjects", "lang", "words"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    out: dict[object, list] = {}
+    out: dict[object, list] = {}  # in order of text within a document
     for r in chosen.mapInPandas(cut, f"doc_id {kind}, subjects array<string>, lang string, words string").collect():
         own = frozenset(place[s] for s in r["subjects"] if s in place)
         if own:
@@ -228,12 +304,15 @@ def subject_areas(documents: DataFrame, labels: DataFrame, subjects: DataFrame,
     spark = documents.sparkSession
     known = [(r["subject"], r["description"] or "") for r in subjects.select("subject", "description").dropna(subset=["subject"]).distinct().orderBy("subject").collect()]
     names = list(dict.fromkeys(s for s, _ in known))
-    told = [(frozenset([names.index(s)]), "en", w) for s, d in known for w in sentences(f"{s}. {d}")] * DESCRIPTIONS
+    seeds = [(frozenset([names.index(s)]), "en", w) for s, d in known for w in sentences(f"{s}. {d}")] * DESCRIPTIONS
     model = None
     if names:
         by_doc = labelled_sentences(documents, labels, names, sample)
-        evidence = held_out_evidence(names, told, by_doc, share)
-        model = fit(names, told + sorted((t for own in by_doc.values() for t in own), key=_order))
+        ids = sorted(by_doc)
+        told = Told(names, seeds + [t for i in ids for t in by_doc[i]])
+        doc = np.repeat(np.arange(len(ids)), [len(by_doc[i]) for i in ids])
+        evidence = held_out_evidence(told, doc, len(seeds), share)
+        model = fit(told)
         model.evidence = evidence
     sent = spark.sparkContext.broadcast(model)
     kind = documents.schema["doc_id"].dataType
@@ -242,30 +321,32 @@ def subject_areas(documents: DataFrame, labels: DataFrame, subjects: DataFrame,
         m = sent.value
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            rows, subjects_out = [], []
-            at, found, ends, spans = 0, [], [], []
+            rows, found = [], []
 
-            def flush():
-                nonlocal found, ends, spans
-                near, evidence = m.about(m.embed(found, ends))
+            def flush(first, tokens, begins):
+                """Judges the documents from number `first` on, whose sentences begin with the given ones."""
+                sentence, term, n = m.terms_of(tokens)
+                near, evidence = m.about(summed(m.vectors, sentence, term, n))
                 near = np.where(evidence >= m.evidence, near, -1)
-                for i, a, b in spans:
-                    for s in m.areas(near[a:b], share):
-                        rows.append(i)
-                        subjects_out.append(m.names[s])
-                found, ends, spans = [], [], []
+                doc = np.searchsorted(np.array(begins), np.arange(n), "right") - 1
+                d, s = m.areas(doc[1:], near[1:], len(begins), share)
+                rows.append(first + d)
+                found.append(s)
 
-            get = m.place.get if m else None
+            first, tokens, begins, ends = 0, [], [], 0
             for i in range(len(texts) if m else 0):
-                first = len(ends)
-                for words in sentences(texts[i].as_py()):
-                    found += [p for p in map(get, terms(words)) if p is not None]
-                    ends.append(len(found))
-                spans.append((i, first, len(ends)))
-                if len(ends) > 5_000:
-                    flush()
-            if spans:
-                flush()
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(subjects_out, pa.string())], names=["doc_id", "subject"])
+                own = scanned(texts[i].as_py())
+                begins.append(ends + 1)  # END before each document, so its first sentence has the next number
+                tokens.append(END)
+                tokens += own
+                ends += 1 + own.count(END)
+                if len(tokens) > 200_000:
+                    flush(first, tokens, begins)
+                    first, tokens, begins, ends = i + 1, [], [], 0
+            if begins:
+                flush(first, tokens, begins)
+            at = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+            told_names = np.array(m.names, object)[np.concatenate(found)] if rows else []
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(told_names, pa.string())], names=["doc_id", "subject"])
 
     return documents.select("doc_id", "text").mapInArrow(judge, f"doc_id {kind.simpleString()}, subject string")
