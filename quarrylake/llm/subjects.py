@@ -72,11 +72,19 @@ def terms(words: list[str]) -> set[str]:
 
 
 def summed(vectors: np.ndarray, row: np.ndarray, term: np.ndarray, rows: int) -> np.ndarray:
-    """Sum of the vectors of each row's terms; `row` ascends."""
+    """Sum of the vectors of each row's terms; `row` ascends. Rows are taken longest first, and the first terms of all are
+    added at once, then the second ones of those that have two, and so on."""
     out = np.zeros((rows, vectors.shape[1]), np.float32)
     if len(row):
         start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        out[row[start]] = np.add.reduceat(vectors[term], start, axis=0)
+        count = np.diff(np.append(start, len(row)))
+        order = np.argsort(-count, kind="stable")
+        start, less = start[order], -count[order]
+        total = np.zeros((len(start), vectors.shape[1]), np.float32)
+        for k in range(-less[0]):
+            n = np.searchsorted(less, -k, "left")
+            total[:n] += vectors[term[start[:n] + k]]
+        out[row[start]] = total
     return out
 
 
