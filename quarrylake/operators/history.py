@@ -93,6 +93,7 @@ def type2_merge(current: History | None, updates: DataFrame, key: str, start: st
     stood = both.groupBy(key, "__from").agg(F.max_by(F.struct(*keep), wins).alias("__row"), was.alias("__was"))
     now = F.struct(F.col("__row.hash_diff"), F.coalesce("__row.__to", F.lit(OPEN).cast("date")).alias("to"))
     stood = stood.select(key, "__from", *[F.col(f"__row.{c}").alias(c) for c in keep], (~F.col("__was").eqNullSafe(now)).alias("__differs"))
+    stood = written(stood, "standing")  # read three times below
     touched = stood.filter("__differs").select(key).distinct()
     stood = stood.drop("__differs")
     kept = current.versions.join(touched, key, "left_anti")
@@ -108,10 +109,14 @@ def type2_loads(updates: DataFrame, load: Column, key: str, start: str, end: str
     out = None
     for n, v in enumerate(loads):
         before = out
-        out = type2_merge(before, marked.filter(F.col("__load").eqNullSafe(F.lit(v))), key, start, end, attributes, newest)
+        part = marked.filter(F.col("__load").eqNullSafe(F.lit(v)))
+        out = type2_merge(before, part, key, start, end, attributes, newest)
         if n + 1 < len(loads):
-            out = out.stored()
-            if before is not None:
+            if before is None:  # versions follow from the rows as they are stored
+                rows = written(out.rows, "history-rows")
+                out = History(rows, written(_versions_of(rows, key, list(attributes)), "history-versions"))
+            else:
+                out = out.stored()
                 before.drop()
     return out if out is not None else type2_merge(None, updates, key, start, end, attributes, newest)
 

@@ -17,8 +17,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def doctor_history(doctors: DataFrame) -> History:
-    """The doctors' history: the loads of each year of arrival merged into what was stored of the years before."""
-    return type2_loads(doctors, F.year("dw_updated_at"), "doctor_id", "effective_from", "effective_to", {c: same_text(F.col(c)) for c in VERSIONED}, ["dw_updated_at"])
+    """The doctors' history: what arrived in the last year merged into the stored history of all years before."""
+    last = doctors.agg(F.max(F.year("dw_updated_at")).alias("y")).first()["y"]
+    return type2_loads(doctors, F.coalesce(F.year("dw_updated_at") == F.lit(last), F.lit(False)), "doctor_id", "effective_from", "effective_to", {c: same_text(F.col(c)) for c in VERSIONED}, ["dw_updated_at"])
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
