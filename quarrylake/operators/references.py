@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import lookup
+from .lookup import hot_keys, lookup
 
 
 def null_mask(columns: Sequence[Column]) -> Column:
@@ -15,7 +15,7 @@ def null_mask(columns: Sequence[Column]) -> Column:
     return sum((F.when(c.isNotNull(), 2**i).otherwise(0) for i, c in enumerate(columns)), F.lit(0)).cast("int")
 
 
-def orphans(refs: DataFrame, targets: DataFrame, columns: Sequence[str], target_columns: Sequence[str] | None = None, match: str = "simple") -> DataFrame:
+def orphans(refs: DataFrame, targets: DataFrame, columns: Sequence[str], target_columns: Sequence[str] | None = None, match: str = "simple", hot: list[tuple] | None = None) -> DataFrame:
     """Rows of refs whose composite reference has no target.
 
     References are grouped by null mask and those of each mask are anti-joined on its non-null columns: the mask is a number
@@ -23,7 +23,8 @@ def orphans(refs: DataFrame, targets: DataFrame, columns: Sequence[str], target_
     and all masks share one shuffle, in which hot references are split (see lookup). match, as in SQL: `simple`, a
     reference with any null is no orphan; `partial`, the non-null columns must agree with some target, all null is no
     orphan; `full`, all null is no orphan and a part of nulls always is. Repeated references stay. Empty targets: every
-    reference that the match considers is an orphan. Extra columns of refs are kept, those of targets are not read.
+    reference that the match considers is an orphan. Extra columns of refs are kept, those of targets are not read. `hot` are
+    the hot whole references if the caller knows them, as hot_keys gives them.
     """
     if match not in ("simple", "partial", "full"):
         raise ValueError(f"match is simple, partial or full, not {match}")
@@ -37,8 +38,9 @@ def orphans(refs: DataFrame, targets: DataFrame, columns: Sequence[str], target_
     asked = rows.filter(F.col("__mask").isin(masks)).withColumn("__ref_key", here)
     there = [F.struct(F.lit(m).alias("m"), *[F.when(F.lit(bool(m >> i & 1)), F.col(f"`{t}`")).cast(refs.schema[c].dataType).alias(f"c{i}") for i, (c, t) in enumerate(zip(columns, target_columns))]) for m in masks]
     keys = targets.select(F.explode(F.array(*there)).alias("__ref_key"))
+    struct_keys = None if hot is None else [((whole, *h[: len(columns)]), *h[len(columns) :]) for h in hot]
     filled = null_mask([F.col(f"__ref_key.c{i}") for i in range(len(columns))]) == F.col("__ref_key.m")
-    found = lookup(asked, keys.filter(filled).distinct(), ["__ref_key"], "left_anti").drop("__ref_key")
+    found = lookup(asked, keys.filter(filled).distinct(), ["__ref_key"], "left_anti", hot=struct_keys).drop("__ref_key")
     if match == "full":
         found = found.unionByName(rows.filter((F.col("__mask") > 0) & (F.col("__mask") < whole)))
     return found.drop("__mask")
@@ -53,10 +55,11 @@ def reference_status(refs: DataFrame, targets: DataFrame, column: str, target_co
     kinds are joined, and keys with many references are split there (see lookup). A null condition is not true.
     """
     refs = refs.withColumn("__ref", F.col(column))
-    missing = orphans(refs, targets, ["__ref"], [target_column], "simple").withColumn("orphan_kind", F.lit("missing"))
+    hot = hot_keys(refs, ["__ref"])
+    missing = orphans(refs, targets, ["__ref"], [target_column], "simple", hot).withColumn("orphan_kind", F.lit("missing"))
     known = targets.filter(F.col(target_column).isNotNull()).groupBy(F.col(target_column).alias("__ref")).agg(*[v.alias(k) for k, v in facts.items()])
     kind = F.lit(None).cast("string")
     for name, cond in reversed(kinds):
         kind = F.when(cond, name).otherwise(kind)
-    found = lookup(refs.filter(F.col("__ref").isNotNull()), known, ["__ref"], "inner").withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull())
+    found = lookup(refs.filter(F.col("__ref").isNotNull()), known, ["__ref"], "inner", hot=hot).withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull())
     return found.drop("__ref", *facts).unionByName(missing.drop("__ref"))
