@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key
 from ..functions.text import surrogate_key
 from ..operators.joins import point_in_time
-from ..operators.lookup import lookup
+from ..operators.lookup import hot_keys, lookup
 from ..operators.windows import repeat_within
 
 #: Ages below which a person belongs to a band, from the youngest.
@@ -65,10 +65,11 @@ def fact_patient_visit(visits: DataFrame, doctors: DataFrame, crosswalk: DataFra
     crosswalk of one row a registration, patient_id. doctors: versions (doctor_id, valid_from, valid_to, is_current, sk, department,
     specialty, designation). Visits of unknown persons return from nothing. Doctors and keys with many visits are split.
     """
+    hot = hot_keys(visits, ["doctor_id"])
     v = visits if crosswalk is None else lookup(visits, crosswalk.select("hospital_id", "patient_id", "mpi_id"), ["hospital_id", "patient_id"])
     named = doctors.select("doctor_id", "valid_from", "valid_to", F.col("sk").alias("doctor_sk"), F.col("department").alias("department_at_visit"), F.col("specialty").alias("doctor_specialty"), F.col("designation").alias("doctor_designation"))
     v = point_in_time(v, named, "doctor_id", "admission_date", ["doctor_sk", "department_at_visit", "doctor_specialty", "doctor_designation"])
-    v = lookup(v, doctors.filter("is_current").select("doctor_id", F.col("department").alias("department_current")), ["doctor_id"])
+    v = lookup(v, doctors.filter("is_current").select("doctor_id", F.col("department").alias("department_current")), ["doctor_id"], hot=hot)
     inpatient = F.coalesce(F.upper(F.trim("admission_type")).isin(*INPATIENT), F.lit(False))
     v = v.withColumn("is_inpatient", inpatient)
     v = repeat_within(v, ["mpi_id"], "admission_date", "discharge_date", "visit_id", days).withColumnsRenamed({"gap_days": "days_since_prev_discharge", "is_repeat": "__any"})

@@ -13,7 +13,7 @@ from ..functions.similarity import jaro_winkler
 from ..functions.text import normalize_name, normalize_phone, phone_last4, sha_key
 from ..operators.entity import assign_stable_ids, block_pairs, exact_links, id_aliases, survivors, three_way, weighted_score
 from ..operators.graph import components
-from ..operators.lookup import lookup
+from ..operators.lookup import hot_keys, lookup
 from ..operators.windows import first_by
 from ..session import written
 from ..sources.store import TableStore
@@ -86,7 +86,9 @@ def score(pairs: DataFrame, regs: DataFrame, weights: Mapping[str, float] = WEIG
     Two genders halve the score of names below 0.95.
     """
     x, y = (regs.select(*[F.col(c).alias(f"{c}_{s}") for c in ("record_id", "full_name", "dob", "phone", "city", "gender")]) for s in "ab")
-    p = lookup(lookup(pairs, x.withColumnRenamed("record_id_a", "a"), ["a"], "inner"), y.withColumnRenamed("record_id_b", "b"), ["b"], "inner")
+    hot = {c: hot_keys(pairs, [c]) for c in "ab"}  # of the pairs as they are, before either join
+    p = lookup(pairs, x.withColumnRenamed("record_id_a", "a"), ["a"], "inner", hot=hot["a"])
+    p = lookup(p, y.withColumnRenamed("record_id_b", "b"), ["b"], "inner", hot=hot["b"])
     a, b = (lambda c: F.col(f"{c}_a")), (lambda c: F.col(f"{c}_b"))
     known = lambda c: a(c).isNotNull() & b(c).isNotNull()
     swapped = (F.year(a("dob")) == F.year(b("dob"))) & (F.month(a("dob")) == F.dayofmonth(b("dob"))) & (F.dayofmonth(a("dob")) == F.month(b("dob")))
@@ -116,7 +118,7 @@ class Resolved:
 
 def decide(regs: DataFrame, accept: float = ACCEPT, review: float = REVIEW) -> Resolved:
     """Pairs linked, queued or let go, and the clusters of the linked ones; registrations without a link are clusters of one."""
-    scored = written(score(candidates(regs), regs), "scored").withColumn("outcome", three_way(F.col("match_score"), accept, review))
+    scored = written(score(written(candidates(regs), "pairs"), regs), "scored").withColumn("outcome", three_way(F.col("match_score"), accept, review))
     exact = exact_links(regs, "record_id", "exact_key").withColumn("match_score", F.lit(1.0))
     copies = classes(regs).filter("record_id <> class_id").select(F.col("class_id").alias("a"), F.col("record_id").alias("b"), F.lit(1.0).alias("match_score"))
     auto = scored.filter("outcome = 'match'").select("a", "b", "match_score")

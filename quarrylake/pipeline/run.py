@@ -190,7 +190,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     """0 if all went well, 1 if not. The session is the caller's or the active one."""
     from ..plans import questions
-    from ..sources.sinks import write_panels
+    from ..sources.sinks import write_panels, write_text
 
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
@@ -204,8 +204,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         elif a.command == "report":
             text = questions.report(spark, a.tables, a.only)
             if a.out:
-                with open(a.out, "w", encoding="utf-8") as f:
-                    f.write(text)
+                write_text(spark, a.out, text)
             else:
                 print(text)
         else:

@@ -87,8 +87,8 @@ def people_scored(spark, folder):
     """Candidate pairs with their parts, score and outcome."""
     from ..operators.entity import three_way
 
-    regs = _regs(spark, folder)
-    return people.score(people.candidates(regs), regs).withColumn("outcome", three_way(F.col("match_score"), people.ACCEPT, people.REVIEW)).drop("strategies")
+    regs = written(_regs(spark, folder), "registrations")
+    return people.score(written(people.candidates(regs), "pairs"), regs).withColumn("outcome", three_way(F.col("match_score"), people.ACCEPT, people.REVIEW)).drop("strategies")
 
 
 _PEOPLE = f"""with recursive {_SCORED},
@@ -103,7 +103,7 @@ best as (select record_id, max(match_score)::double as match_score from (select
 def _resolved(spark, folder):
     """The network's people resolved twice into a store: the second run must change nothing."""
     store = _store(spark)
-    regs = _regs(spark, folder)
+    regs = written(_regs(spark, folder), "registrations")
     for _ in range(2):
         people.resolve(store, regs)
     return store
@@ -335,7 +335,7 @@ visits as (select *, inp and coalesce(gap between 0 and 30, false) as net, inp a
 
 def _visits(spark, folder):
     v = table(spark, folder, "fact_patient_visit").filter("visit_id is not null").select("visit_id", "doctor_id", "hospital_id", "mpi_id", "admission_date", "discharge_date", "admission_type", "dw_updated_at")
-    v = first_by(v, ["visit_id"], [F.desc("dw_updated_at")]).drop("dw_updated_at")
+    v = written(first_by(v, ["visit_id"], [F.desc("dw_updated_at")]).drop("dw_updated_at"), "visits")
     docs = written(doctor_history(table(spark, folder, "dim_doctor")).versions, "doctors")
     return gold.fact_patient_visit(v, docs)
 

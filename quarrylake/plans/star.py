@@ -15,7 +15,6 @@ from ..operators.graph import components
 from ..operators.history import close_open, type2_loads, type2_merge
 from ..operators.inference import infer_codes
 from ..operators.intervals import daily_state, open_on_days, segments
-from ..operators.lookup import lookup
 from ..operators.joins import band_join, point_in_time, wildcard_match
 from ..operators.quality import Check, evaluate
 from ..operators.references import orphans
@@ -177,13 +176,14 @@ j as (select f.o_custkey, f.ship, t.p as p_then, n.p as p_now from f left join h
 
 
 def _pit(spark, folder):
-    """Counts of lines by priority then and now. Versions are written once, as both joins read them."""
+    """Counts of lines by priority then and now. Versions and days are written once, as they are read several times."""
     o = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     f = table(spark, folder, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("ship")).join(o, "l_orderkey").groupBy("o_custkey", "ship").agg(F.count(F.lit(1)).alias("n"))
+    f = written(f, "ships")
     v = written(_versions(spark, folder).select("o_custkey", "valid_from", "valid_to", "is_current", "p"), "versions")
     then = point_in_time(f, v.withColumnRenamed("p", "p_then"), "o_custkey", "ship", ["p_then"])
     now = v.filter("is_current").select("o_custkey", F.col("p").alias("p_now"))
-    return lookup(then.groupBy("o_custkey", "p_then").agg(F.sum("n").alias("n")), now, ["o_custkey"]).groupBy("p_then", "p_now").agg(F.sum("n").alias("n"))
+    return then.groupBy("o_custkey", "p_then").agg(F.sum("n").alias("n")).join(now, "o_custkey", "left").groupBy("p_then", "p_now").agg(F.sum("n").alias("n"))
 
 
 @query(f"{_PIT} select p_then, p_now, count(*) as n from j group by 1, 2")
@@ -465,9 +465,8 @@ select event_type, n_days, n_above, mid::bigint as mid from p cross join m where
 def pressure_days(spark, folder):
     """Types that are above the median day often."""
     d = written(daily_state(_segments(spark, folder), "event_type", "user_id"), "daily")
-    mid = d.agg(F.percentile_approx("present", 0.5, 100000).alias("mid"))
-    above = d.join(F.broadcast(mid))  # one row
-    return above.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_days"), F.sum((F.col("present") > F.col("mid")).cast("int")).alias("n_above"), F.max("mid").cast("bigint").alias("mid")).filter("n_above > 2")
+    mid = F.lit(d.agg(F.percentile_approx("present", 0.5, 100000).alias("mid")).first()["mid"]).cast("bigint")
+    return d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_days"), F.sum((F.col("present") > mid).cast("int")).alias("n_above")).withColumn("mid", mid).filter("n_above > 2")
 
 
 @query("""with d as (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as day)
@@ -546,10 +545,10 @@ def waterfall(spark, folder):
 # --- references, checks, merges --------------------------------------------------------------------------------------
 
 
-@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderpriority = '1-URGENT' and o_orderstatus = 'F')")
 def customers_without_orders(spark, folder):
-    """Keys without a partner."""
-    o = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an urgent order that is finished: keys without a partner."""
+    o = table(spark, folder, "orders").filter("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, folder, "customer").select("c_custkey").join(o, "c_custkey", "left_anti")
 
 
@@ -577,6 +576,11 @@ _CHECKS = [
     Check("balance", "customer", "range", ("c_acctbal",), low=0, threshold=0.9),
     Check("discount", "lineitem", "range", ("l_discount",), low=0, high=0.1),
     Check("late", "lineitem", "expression", predicate="l_tax < 0.05", threshold=0.5),
+    Check("heavy_tax", "lineitem", "expression", predicate="l_tax >= 0.05", threshold=0.4, compare="lte"),
+    Check("line_count", "lineitem", "row_count", threshold=0, compare="gt"),
+    Check("free_lines", "lineitem", "expression", predicate="l_discount = 0", threshold=0.5, compare="lt"),
+    Check("exact_share", "orders", "unique", ("o_orderkey",), threshold=1.0, compare="eq"),
+    Check("reported_only", "lineitem", "expression", predicate="l_quantity > 25", threshold=None),
     Check("customer_of_order", "orders", "referential", ("o_custkey",), target=("customer", "c_custkey")),
 ]
 
@@ -590,7 +594,12 @@ select 'balance', 1 - avg((c_acctbal < 0)::int), 0.9 from customer union all
 select 'discount', 1 - avg((l_discount < 0 or l_discount > 0.1)::int), 1.0 from lineitem union all
 select 'late', avg((l_tax < 0.05)::int), 0.5 from lineitem union all
 select 'customer_of_order', 1 - avg((o_custkey not in (select c_custkey from customer))::int), 1.0 from orders)
-select check_name, round(value, 6) as value, value >= threshold as passed from v""")
+select check_name, round(value, 6) as value, value >= threshold as passed from v union all
+select 'heavy_tax', round(avg((l_tax >= 0.05)::int), 6), avg((l_tax >= 0.05)::int) <= 0.4 from lineitem union all
+select 'line_count', count(*)::double, count(*) > 0 from lineitem union all
+select 'free_lines', round(avg((l_discount = 0)::int), 6), avg((l_discount = 0)::int) < 0.5 from lineitem union all
+select 'exact_share', round(count(distinct o_orderkey) / count(*)::double, 6), count(distinct o_orderkey) = count(*) from orders union all
+select 'reported_only', round(avg((l_quantity > 25)::int), 6), true from lineitem""")
 def dq_scorecard(spark, folder):
     """Checks over the tables."""
     return evaluate(spark, lambda n: table(spark, folder, n), _CHECKS).select("check_name", "value", "passed")

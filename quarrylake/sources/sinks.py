@@ -7,9 +7,8 @@ import math
 from collections.abc import Mapping
 from datetime import date, datetime
 from decimal import Decimal
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 #: Most rows of a panel: a panel is a report, and a larger result is an error and not cut.
 PANEL_ROWS = 1_000
@@ -35,14 +34,22 @@ def rows_of(df: DataFrame) -> list[dict]:
     return [{k: plain(v) for k, v in r.asDict().items()} for r in rows]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text to a path of any file system that Spark knows, in place of what is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(text.encode())
+    out.close()
+
+
 def write_panels(folder: str, panels: Mapping[str, Mapping[str, DataFrame]], stamp: Mapping[str, str]) -> list[str]:
-    """One compact JSON file per panel with its queries' rows and the stamp; returns the paths."""
+    """One compact JSON file per panel with its queries' rows and the stamp, in a folder of any file system; returns the paths."""
     out = []
     for name, parts in panels.items():
-        path = Path(folder) / f"{name}.json"
-        path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_text(json.dumps({"provenance": dict(stamp), **{k: rows_of(df) for k, df in parts.items()}}, separators=(",", ":"), allow_nan=False, ensure_ascii=False))
-        out.append(str(path))
+        path = f"{folder.rstrip('/')}/{name}.json"
+        told = json.dumps({"provenance": dict(stamp), **{k: rows_of(df) for k, df in parts.items()}}, separators=(",", ":"), allow_nan=False, ensure_ascii=False)
+        write_text(next(iter(parts.values())).sparkSession, path, told)
+        out.append(path)
     return out
 
 
