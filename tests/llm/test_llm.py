@@ -25,8 +25,9 @@ SMALL = "/root/testdata/sf0.001"
 # --- groups ---------------------------------------------------------------------------------------------------------
 
 
-def test_groups_against_sql(spark):
-    assert compare(spark, duck(SMALL), SMALL, queries.QUERIES["p1_found"], queries.ORACLE["p1_found"]) == ""
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_against_sql(spark, name):
+    assert compare(spark, duck(SMALL), SMALL, queries.QUERIES[name], queries.ORACLE[name]) == ""
 
 
 def test_chains_stars_nulls_and_repeats(spark):
