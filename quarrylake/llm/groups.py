@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.lookup import lookup
-from ..session import drop_written, shared_folder
+from ..operators.lookup import HOT_SHARE, lookup
+from ..session import drop_written, shared_folder, written
 
 
 def _kept(df: DataFrame) -> tuple[DataFrame, tuple]:
@@ -38,11 +39,15 @@ def hash_to_min(pairs: DataFrame, a: str, b: str, most_rounds: int = 64) -> Data
     both = F.array(*[F.struct(F.col(x).alias("v"), F.col(y).alias("u")) for x, y in ("vu", "uv", "vv", "uu")])
     rows, digest = _kept(some.select(F.inline(both)).distinct())
     for _ in range(most_rounds):
-        least = rows.groupBy("v").agg(F.min("u").alias("m"))
+        # one aggregate gives least members and, by their counts, the clusters to split
+        least = written(rows.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        most = digest[0] * HOT_SHARE
+        top = least.filter((F.col("n") > most) & (F.col("n") > 1)).select("v", "n").collect()  # fewer than 1 / HOT_SHARE
+        hot = [(t["v"], t["n"], math.ceil(t["n"] / most)) for t in top]
         sent = F.array(F.struct(F.col("m").alias("v"), "u"), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))
         before = rows
-        rows, new = _kept(lookup(rows, least, ["v"], "inner").select(F.inline(sent)).distinct())
-        drop_written(before)
+        rows, new = _kept(lookup(rows, least.drop("n"), ["v"], "inner", hot=hot).select(F.inline(sent)).distinct())
+        drop_written(before, least)
         if new == digest:
             return rows.groupBy("v").agg(F.min("u").alias("group")).withColumnRenamed("v", "node")
         digest = new
