@@ -50,7 +50,8 @@ def radius_join(elements: DataFrame, anchor: str, word: str, row: str, radius: i
     dropped.
     """
     rows = elements.select(F.col(anchor).alias("k"), F.col(word).alias("w"), F.col(row).alias("r")).dropna().distinct()
-    words = rows.select("k", "w").distinct()
+    rows = written(rows, "elements")  # read four times below
+    words = written(rows.select("k", "w").distinct(), "words")
     large = words.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell)
     drawn = F.pmod(F.xxhash64("w"), F.lit(1 << 20)) < F.lit(1 << 20) * F.sqrt(F.col("n") * cell) / (F.col("n") * cell)
     pivots = words.join(large, "k").filter(drawn).groupBy("k").agg(F.sort_array(F.collect_list("w")).alias("pivots"))
