@@ -232,13 +232,16 @@ def person_pairs(people: DataFrame, nicknames: DataFrame, key: str = "mpi_id") -
     m, d = F.substring("dob", 6, 2), F.substring("dob", 9, 2)
     day = F.when(F.col("dob") != "", F.concat(F.lit("d"), F.substring("dob", 1, 4), F.least(m, d), F.greatest(m, d)))
     anchors = F.array_compact(F.array(F.when(F.col("ph") != "", F.concat(F.lit("p"), "ph")), day))
-    joined = F.array(F.regexp_replace("n", " ", ""), F.array_join(F.reverse(split), ""))
     less = F.transform(F.sequence(F.lit(1), F.length("ph")), lambda i: F.concat(F.substring(F.col("ph"), F.lit(1), i - 1), F.substring(F.col("ph"), i + 1, F.length("ph"))))
     slips = rows.filter("ph <> ''").select("r", "ph", F.explode(F.array_distinct(F.concat(F.array("ph"), less))).alias("k"))
     slips = slips.join(slips.groupBy("k").agg(F.min("ph").alias("x"), F.max("ph").alias("y")).filter("x <> y").select("k"), "k")
     slips = slips.select("r", F.concat(F.lit("s"), "k").alias("k")).distinct().join(rows, "r")
     anchored = rows.withColumn("k", F.explode(anchors)).unionByName(slips.select(*rows.columns, "k"))
-    words = anchored.select("r", "k", F.array_distinct(F.concat(split, joined)).alias("ws")).select("r", "k", F.explode("ws").alias("w")).filter("length(w) > 1")
+    anchored = written(anchored.select("r", "k", split.alias("ws")), "anchored")
+    # names run together are compared only with names of another number of words, so only where an anchor has both
+    mixed = anchored.groupBy("k").agg(F.min(F.size("ws")).alias("x"), F.max(F.size("ws")).alias("y")).filter("x < y").select("k")
+    joined = F.array_distinct(F.array(F.array_join("ws", ""), F.array_join(F.reverse("ws"), "")))
+    words = anchored.select("r", "k", F.explode("ws").alias("w")).unionByName(anchored.join(mixed, "k", "left_semi").select("r", "k", F.explode(joined).alias("w"))).filter("length(w) > 1")
     full = words.join(F.broadcast(short.withColumnRenamed("s", "w")), "w").select("r", "k", F.col("f").alias("w"))
     close = radius_join(words.unionByName(full), "k", "w", "r")
     x, y = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in rows.columns]) for i in (1, 2))
