@@ -61,6 +61,7 @@ def radius_join(elements: DataFrame, anchor: str, word: str, row: str, radius: i
     home = F.coalesce(F.array_position("far", F.col("near")).cast("int"), F.lit(1))
     kept = F.filter(F.sequence(F.lit(1), F.size("far")), lambda i: F.get("far", i - 1) <= F.col("near") + 2 * radius)
     placed = placed.select("k", "w", home.alias("home"), F.when(F.col("far").isNull(), F.array(F.lit(1))).otherwise(kept).alias("cells"))
+    placed = written(placed, "placed")  # distances to pivots are computed once for both sides
     there = placed.select("k", F.col("w").alias("x"), F.explode("cells").alias("home"))
     close = placed.select("k", "w", "home").join(there, ["k", "home"]).filter(F.levenshtein("w", "x", radius) >= 0)
     close = close.select("k", F.least("w", "x").alias("w"), F.greatest("w", "x").alias("x")).distinct()
