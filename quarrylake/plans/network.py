@@ -400,20 +400,21 @@ def fact_occupancy(spark, folder):
     return _occupancy(spark, folder).select("hospital_id", text_day("day"), "occupied_beds", "open_stays", "admissions", "discharges", "mean_stay", "occupancy_rate", "turnover_rate", F.coalesce("is_over_capacity", F.lit(False)).alias("is_over_capacity"), "occupancy_band")
 
 
-@query(f"with {_WARDS} select hospital_name, date_trunc('month', day)::date::varchar as month, round(avg(occupancy_rate) * 100, 4) as occupancy_pct, sum(occupied_beds)::bigint as bed_days, max(bed_count) as beds from f join dim_hospital using (hospital_id) group by 1, 2")
+@query(f"with {_WARDS} select hospital_name, date_trunc('month', day)::date::varchar as month, ((200 * sum(round(occupancy_rate * 10000)::bigint) + count(occupancy_rate)) // nullif(2 * count(occupancy_rate), 0))::bigint / 10000.0::double as occupancy_pct, sum(occupied_beds)::bigint as bed_days, max(bed_count) as beds from f join dim_hospital using (hospital_id) group by 1, 2")
 def occupancy_months(spark, folder):
-    """Mean occupancy by hospital and month."""
-    o = _occupancy(spark, folder).groupBy("hospital_id", F.trunc("day", "month").alias("month")).agg(F.round(F.avg("occupancy_rate") * 100, 4).alias("occupancy_pct"), F.sum("occupied_beds").alias("bed_days"), F.max("bed_count").alias("beds"))
+    """Mean occupancy by hospital and month, summed in whole ten-thousandths."""
+    o = _occupancy(spark, folder).groupBy("hospital_id", F.trunc("day", "month").alias("month")).agg((F.expr("(200 * sum(cast(round(occupancy_rate * 10000) as bigint)) + count(occupancy_rate)) div nullif(2 * count(occupancy_rate), 0)") / 10000).alias("occupancy_pct"), F.sum("occupied_beds").alias("bed_days"), F.max("bed_count").alias("beds"))
     return o.join(table(spark, folder, "dim_hospital").select("hospital_id", "hospital_name"), "hospital_id").select("hospital_name", text_day("month"), "occupancy_pct", "bed_days", *big("beds"))
 
 
-@query(f"""with {_WARDS}, m as (select quantile_disc(mean_stay, 0.5) as mid from f where mean_stay is not null),
-pq as (select hospital_id, 'FY' || (year(day) - (month(day) < 4)::int) as fy, ((month(day) + 8) % 12) // 3 + 1 as fq, count(*) as days, sum((occupancy_rate >= 0.85)::int)::bigint as days_above, round(avg(mean_stay), 2) as ward_alos from f group by 1, 2, 3)
-select hospital_id, fy, fq, days, days_above, ward_alos, round(mid, 2) as median_alos, round(ward_alos - mid, 2) as alos_vs_network from pq cross join m where days_above > 20""")
+@query(f"""with {_WARDS}, h as (select *, round(mean_stay * 100)::bigint as cents from f), m as (select quantile_disc(cents, 0.5) as mid from h where cents is not null),
+pq as (select hospital_id, 'FY' || (year(day) - (month(day) < 4)::int) as fy, ((month(day) + 8) % 12) // 3 + 1 as fq, count(*) as days, sum((occupancy_rate >= 0.85)::int)::bigint as days_above, ((2 * sum(cents) + count(cents)) // nullif(2 * count(cents), 0))::bigint as own from h group by 1, 2, 3)
+select hospital_id, fy, fq, days, days_above, own / 100.0::double as ward_alos, mid / 100.0::double as median_alos, (own - mid) / 100.0::double as alos_vs_network from pq cross join m where days_above > 20""")
 def pressure_quarters(spark, folder):
-    """Wards above 85 % on more than 20 days of a fiscal quarter, with their stays against the median of all."""
-    o = written(_occupancy(spark, folder).select("hospital_id", "day", "occupancy_rate", "mean_stay"), "days")
-    mid = o.agg(F.percentile_approx("mean_stay", 0.5, 1_000_000).alias("mid")).first()["mid"]
+    """Wards above 85 % on more than 20 days of a fiscal quarter, with their mean stay against the median of all, in whole
+    hundredths of a day so that no sum depends on the order of its terms."""
+    o = written(_occupancy(spark, folder).select("hospital_id", "day", "occupancy_rate", F.round(F.col("mean_stay") * 100).cast("bigint").alias("cents")), "days")
+    mid = F.lit(o.agg(F.percentile_approx("cents", 0.5, 1_000_000).alias("mid")).first()["mid"]).cast("bigint")
     month = F.month("day")
-    q = o.groupBy("hospital_id", F.concat(F.lit("FY"), F.year("day") - F.when(month < 4, 1).otherwise(0)).alias("fy"), (F.floor(F.pmod(month + 8, F.lit(12)) / 3) + 1).alias("fq")).agg(F.count(F.lit(1)).alias("days"), F.sum(F.when(F.col("occupancy_rate") >= 0.85, 1).otherwise(0)).alias("days_above"), F.round(F.avg("mean_stay"), 2).alias("ward_alos"))
-    return q.filter("days_above > 20").withColumns({"median_alos": F.round(F.lit(mid), 2), "alos_vs_network": F.round(F.col("ward_alos") - F.lit(mid), 2)})
+    q = o.groupBy("hospital_id", F.concat(F.lit("FY"), F.year("day") - F.when(month < 4, 1).otherwise(0)).alias("fy"), (F.floor(F.pmod(month + 8, F.lit(12)) / 3) + 1).alias("fq")).agg(F.count(F.lit(1)).alias("days"), F.sum(F.when(F.col("occupancy_rate") >= 0.85, 1).otherwise(0)).alias("days_above"), F.expr("(2 * sum(cents) + count(cents)) div nullif(2 * count(cents), 0)").alias("own"))
+    return q.filter("days_above > 20").select("hospital_id", "fy", "fq", "days", "days_above", (F.col("own") / 100).alias("ward_alos"), (mid / 100).alias("median_alos"), ((F.col("own") - mid) / 100).alias("alos_vs_network"))
