@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -14,10 +14,10 @@ from ..session import written
 #: Values kept of a claim's sketch and of a bill's: those of a set of at most this size are all kept.
 SKETCH, BILL_SKETCH = 24, 48
 
-#: Most labelled pairs that the classifier and its calibration are fitted on, taken evenly by hash.
-SAMPLE = 40_000
+#: Parts of the claims, by hash: what is learned of one is learned from the others, and calibrated on all of them.
+FOLDS = 4
 
-#: Confidences that are tried as the least one to accept, from the highest down, and how many held-out claims make a step tell.
+#: Confidences that are tried as the least one to accept, from the highest down, and how many claims make a step tell.
 STEPS, TELLING = tuple(round(0.95 - 0.05 * i, 2) for i in range(10)), 20
 
 
@@ -37,15 +37,16 @@ def candidates(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(a, b, (F.col("__s") / (F.col("__n") - F.col("__s"))).alias("alike"))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, prior: Sequence[float], ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights, the first for the constant, by Newton's method, drawn to `prior`; with labels of one kind only, the prior."""
-    x, prior = np.column_stack([np.ones(len(x)), x]), np.array(prior, float)
+def fit_logistic(x: np.ndarray, y: np.ndarray, prior: Sequence[float], ridge: float = 1.0, rounds: int = 30, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights, the first for the constant, by Newton's method, drawn to `prior`; with labels of one kind only, the prior.
+    `times` says how often each row of x and y occurs, once if left out."""
+    x, prior, times = np.column_stack([np.ones(len(x)), x]), np.array(prior, float), np.ones(len(y)) if times is None else times
     if not len(y) or y.min() == y.max():
         return prior
     w, keep = prior.copy(), ridge * np.eye(len(prior))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep, x.T @ (y - p) - keep @ (w - prior))
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + keep, x.T @ (times * (y - p)) - keep @ (w - prior))
         w += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-6:
             break
@@ -102,15 +103,16 @@ CONSTANT = -6.0
 LEARNED = 50
 
 
-def least_accepted(confidence: np.ndarray, decoy: np.ndarray, share: float) -> float:
-    """The least confidence to accept: steps are taken from the highest down while, among held-out best candidates within one,
-    claims that are no chance matches are at least as many as those that are; chance matches are `share` times the decoys
-    there. A step with fewer than TELLING claims and decoys is judged with those above it."""
+def least_accepted(confidence: np.ndarray, decoy: np.ndarray, share: float, times: np.ndarray | None = None) -> float:
+    """The least confidence to accept: steps are taken from the highest down while, among best candidates within one, claims
+    that are no chance matches are at least as many as those that are; chance matches are `share` times the decoys there. A
+    step with fewer than TELLING claims and decoys is judged with those above it. `times`: how often each occurs."""
+    times = np.ones(len(decoy)) if times is None else times
     seen_claims = seen_decoys = 0
     out, above = STEPS[0], 1.01
     for least in STEPS:
         here = (confidence >= least) & (confidence < above)
-        seen_claims, seen_decoys = seen_claims + (here & ~decoy).sum(), seen_decoys + (here & decoy).sum()
+        seen_claims, seen_decoys = seen_claims + times[here & ~decoy].sum(), seen_decoys + times[here & decoy].sum()
         if seen_claims + seen_decoys >= TELLING:
             if 2 * share * seen_decoys > seen_claims:
                 return out
@@ -126,15 +128,17 @@ def claim_bill_pairs(claims: DataFrame, bills: DataFrame) -> DataFrame:
     within a hospital, so that one attribute alone, however frequent its value, makes no block. Features say how each
     attribute agrees, and how alike the sketches are. Weak labels: a claim's decoy is the claim as it were had its best
     candidate never been delivered, so the decoy's best candidate is the runner-up; a claim's best is labelled a match, and a
-    decoy's, or one that agrees in hardly anything, none. A logistic classifier is fitted on the best candidates of at most
-    SAMPLE claims, drawn evenly by hash.
-
-    The confidence is the probability that the pair is a match. Platt's method, on a fourth of the labels that the classifier
-    has not seen, gives p, how probable a pair of that score is a claim's and not a decoy's. Claims and decoys are equally
-    many, so a score is p / (1 - p) times as frequent among claims as among decoys; `share` of the claims (told from how many
-    have candidates as poor as decoys') have no bill and score as decoys do; so share * (1 - p) / p of the claims' pairs of a
-    score are chance, and the confidence is what is left. A claim gets the candidate of highest confidence if that is at least
-    what least_accepted finds on the same held-out fourth. Chance matches grow with the tables and are found for each input.
+    decoy's, or one that agrees in hardly anything, none. A logistic classifier is fitted on the best candidates of all claims
+    and decoys, counted by their features: the driver gets each combination of features once, and these are bounded by the
+    values that features have, not by the claims.
+
+    The confidence is the probability that the pair is a match. Platt's method gives p, how probable a pair of that score is a
+    claim's and not a decoy's; it is fitted on all labels, each scored by a classifier that has seen only the claims of the
+    other FOLDS - 1 parts. Claims and decoys are equally many, so a score is p / (1 - p) times as frequent among claims as
+    among decoys; `share` of the claims (told from how many have candidates as poor as decoys') have no bill and score as
+    decoys do; so share * (1 - p) / p of the claims' pairs of a score are chance, and the confidence is what is left. A claim
+    gets the candidate of highest confidence if that is at least what least_accepted finds on the same scores. Chance matches
+    grow with the tables and are found for each input.
 
     Of a claim's rows the latest counts, with the amounts of the first and the latest. Null ids are left out, repeated rows
     count once, null attributes agree with nothing. An empty table gives an empty one; with fewer than LEARNED labels of either
@@ -146,7 +150,6 @@ def claim_bill_pairs(claims: DataFrame, bills: DataFrame) -> DataFrame:
     )
     c = written(c.select("claim_id", "first", "r.*").withColumns(sequence_of(F.col("hospital_ref_no"))), "claims")
     n_claims = c.count()
-    part = lambda n: F.pmod(F.xxhash64(F.lit("part"), "claim_id"), F.lit(1_000_000)) < F.lit(math.ceil(1_000_000 * min(1.0, n / max(n_claims, 1))))
     b = bills.filter("bill_id is not null").groupBy("bill_id").agg(F.max(F.struct("patient_id", "hospital_id", "visit_id", "admission_date", "discharge_date", F.col("net_payable").cast("double").alias("net"), F.col("gross_amount").cast("double").alias("gross"), "bill_date")).alias("r"))
     own = sequence_of(F.col("bill_id"))
     b = written(b.select("bill_id", "r.*").withColumns({"bill_year": own["year"], "bill_number": own["number"]}), "bills")
@@ -193,25 +196,27 @@ def claim_bill_pairs(claims: DataFrame, bills: DataFrame) -> DataFrame:
     pairs = pairs.select("claim_id", "bill_id", *[v.alias(k) for k, v in f.items()]).withColumn("agree", agree)
     pairs = written(pairs, "pairs")
     names = list(FEATURES)
-    tried = pairs.filter(part(SAMPLE))
-    best_of = lambda df: df.groupBy("claim_id").agg(F.max_by(F.struct("bill_id", "agree", *names), F.struct("agree", "bill_id")).alias("r")).select("claim_id", "r.*")
-    first = best_of(tried)
-    second = best_of(tried.join(first.select("claim_id", "bill_id"), ["claim_id", "bill_id"], "left_anti"))
-    both = first.withColumn("decoy", F.lit(False)).unionByName(second.withColumn("decoy", F.lit(True))).drop("bill_id")
-    some = both.toPandas().sort_values(["claim_id", "decoy"])  # at most two rows for each claim of the sample
-    x, y = some[names].to_numpy(float), (~some["decoy"].to_numpy(bool) & (some["agree"].to_numpy(float) > 1)).astype(float)
-    held = (np.arange(len(y)) % 4 == 0).astype(bool)
-    told = min(y.sum(), len(y) - y.sum()) >= LEARNED
-    w = fit_logistic(x[~held], y[~held], [0.0] * (len(names) + 1)) if told else np.array([CONSTANT, *FEATURES.values()], float)
-    z = np.column_stack([np.ones(len(x)), x]) @ w
-    slope = fit_logistic(z[held][:, None], y[held], [0.0, 1.0], ridge=0.1)
-    looked = some["decoy"].to_numpy(bool)
-    weak = some["agree"].to_numpy(float) <= 1
-    n_some = min(n_claims, SAMPLE)
-    lone = lambda d: (n_some - (looked == d).sum() + (weak & (looked == d)).sum()) / max(n_some, 1)
+    rank = F.row_number().over(Window.partitionBy("claim_id").orderBy(F.desc("agree"), F.desc("bill_id")))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "claim_id"), F.lit(FOLDS)).cast("int")
+    ends = pairs.withColumn("rank", rank).filter("rank <= 2").withColumn("group", fold + F.lit(FOLDS) * (F.col("rank") - 1))
+    flags = [F.col(n).cast("double" if n == "alike" else "tinyint").alias(n) for n in names]
+    counts = ends.groupBy("agree", *flags).agg(*[F.count_if(F.col("group") == i).alias(f"n{i}") for i in range(2 * FOLDS)])
+    kinds = counts.toArrow().to_pandas().sort_values(["agree", *names])  # by features, so sums have one order
+    n_of = kinds[[f"n{i}" for i in range(2 * FOLDS)]].to_numpy()
+    at, group = np.nonzero(n_of)
+    x, agreed, times = kinds[names].to_numpy(float)[at], kinds["agree"].to_numpy(float)[at], n_of[at, group].astype(float)
+    looked, fold_of, weak = group >= FOLDS, group % FOLDS, agreed <= 1
+    y = (~looked & ~weak).astype(float)
+    told = min(times @ y, times @ (1 - y)) >= LEARNED
+    learn = lambda of: fit_logistic(x[of], y[of], [0.0] * (len(names) + 1), times=times[of]) if told else np.array([CONSTANT, *FEATURES.values()], float)
+    w, z = learn(fold_of >= 0), np.zeros(len(y))
+    for i in range(FOLDS):
+        z[fold_of == i] = np.column_stack([np.ones(len(x)), x])[fold_of == i] @ learn(fold_of != i)
+    slope = fit_logistic(z[:, None], y, [0.0, 1.0], ridge=0.1, times=times)
+    lone = lambda d: (n_claims - times[(looked == d) & ~weak].sum()) / max(n_claims, 1)
     share = float(np.clip(lone(False) / max(lone(True), 0.01), 0.01, 0.9))
-    sure = np.maximum(0, 1 - share / np.exp(np.clip(slope[0] + slope[1] * z[held], -30, 30)))
-    accept = least_accepted(sure, looked[held], share) if told else 0.5
+    sure = np.maximum(0, 1 - share / np.exp(np.clip(slope[0] + slope[1] * z, -30, 30)))
+    accept = least_accepted(sure, looked, share, times) if told else 0.5
     odds = F.exp(F.lit(float(slope[0])) + F.lit(float(slope[1])) * F.col("z"))
     pairs = pairs.withColumn("z", score(w, names)).withColumn("confidence", F.greatest(F.lit(0.0), 1 - F.lit(share) / odds))
     best = pairs.filter(F.col("confidence") >= accept).groupBy("claim_id").agg(F.max_by(F.struct("bill_id", "confidence"), F.struct("z", "agree", "bill_id")).alias("r"))

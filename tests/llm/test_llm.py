@@ -374,6 +374,39 @@ def test_least_accepted():
     assert least_accepted(sure, decoy, 0.5) == 0.65 and least_accepted(sure, decoy, 0.1) == 0.5 and least_accepted(sure[:0], decoy[:0], 0.5) == 0.5
 
 
+def test_repeats_count_as_rows_of_their_own():
+    rng = np.random.default_rng(1)
+    x, times = rng.integers(0, 3, (60, 2)).astype(float), rng.integers(0, 5, 60)
+    y = (x[:, 0] + rng.random(60) > 1.5).astype(float)
+    assert np.allclose(fit_logistic(x, y, [0, 0, 0], times=times), fit_logistic(np.repeat(x, times, 0), np.repeat(y, times), [0, 0, 0]))
+    sure = rng.random(60)
+    assert all(least_accepted(sure, y > 0, s, times) == least_accepted(np.repeat(sure, times), np.repeat(y > 0, times), s) for s in (0.1, 0.3, 0.5, 0.9))
+
+
+def test_all_claims_are_learned_from(spark, monkeypatch):
+    """Two bills and two claims a hospital, so every claim has a best candidate and a runner-up: two labels."""
+    n, seen = 42_000, {"weights": 0, "calibration": 0, "limit": 0}
+
+    def fit(x, y, *args, times=None, **named):
+        what = "calibration" if x.shape[1] == 1 else "weights"
+        seen[what] = max(seen[what], len(y) if times is None else times.sum())
+        return fit_logistic(x, y, *args, **named) if times is None else fit_logistic(x, y, *args, times=times, **named)
+
+    def limit(sure, decoy, share, *times):
+        seen["limit"] = times[0].sum() if times else len(decoy)
+        return least_accepted(sure, decoy, share, *times)
+
+    monkeypatch.setattr("quarrylake.llm.linkage.fit_logistic", fit)
+    monkeypatch.setattr("quarrylake.llm.linkage.least_accepted", limit)
+    day, place, amount = F.lit(date(2024, 1, 5)), F.expr("concat('H', id div 2)"), F.expr("cast(1000 + 5000 * (id % 2) as decimal(18,2))")
+    shared = [F.lit("p").alias("patient_id"), place.alias("hospital_id"), day.alias("admission_date"), day.alias("discharge_date")]
+    bills = spark.range(n).select(F.expr("concat('b', id)").alias("bill_id"), F.lit(None).cast("string").alias("visit_id"), amount.alias("net_payable"), amount.alias("gross_amount"), day.alias("bill_date"), *shared)
+    claims = spark.range(n).select(F.expr("concat('c', id)").alias("claim_id"), F.lit(None).cast("string").alias("hospital_ref_no"), amount.alias("claim_amount"), day.alias("submitted_date"), day.alias("export_date"), F.lit(datetime(2024, 1, 5)).alias("ingestion_ts"), *shared)
+    got = claim_bill_pairs(claims, bills)
+    assert got.filter("substr(claim_id, 2) = substr(bill_id, 2)").count() == n == got.count()
+    assert seen == {"weights": 2 * n, "calibration": 2 * n, "limit": 2 * n}
+
+
 # --- subjects -------------------------------------------------------------------------------------------------------
 
 
